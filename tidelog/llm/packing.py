@@ -36,30 +36,75 @@ CAPACITY = 2048
 MIN_FILL = 0.98
 #: Classes beyond this one share its bins' handling: their tiny pieces are laid end to end with the unfinished bins.
 LAST_CLASS = 64
-REMEMBERED = 1 << 18
+#: Words that a worker remembers before it starts anew.
+REMEMBERED = 1 << 20
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+#: Marks that may close a word; the tokenizer splits them off letters.
+TAIL = ".,!?;:|#*%&$"
+
+
+def _byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write the characters below U+0180: printable bytes as themselves, others moved up."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    moved = iter(range(256, 512))
+    letter = {b: chr(b) if b in plain else chr(next(moved)) for b in range(256)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x180)}
+
+
 class WordIds(dict):
-    """word -> its ids as little-endian unsigned 32-bit bytes."""
+    """word -> its ids as little-endian unsigned 32-bit bytes.
+
+    A new word of letters below U+0180 (composed already, and lower-cased alike everywhere) with closing marks goes straight
+    to the vocabulary's merges, its marks apart; any other new word goes through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
+        self.letters, self.cores, self.tails = _byte_letters(), {}, {"": b""}
+
+    def _whole(self, text: str) -> bytes:
+        return b"".join([i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        core = text.rstrip(TAIL)
+        if core.isalpha() and max(core) < "\u0180" and "\u0130" not in core:
+            tail = text[len(core) :]
+            core = core.lower()
+            ids = self.cores.get(core)
+            if ids is None:
+                made = self.merge(core if core.isascii() else core.translate(self.letters))
+                ids = self.cores[core] = b"".join([t.id.to_bytes(4, "little") for t in made])
+            if tail not in self.tails:
+                self.tails[tail] = self._whole(tail)
+            ids += self.tails[tail]
+        else:
+            ids = self._whole(text)
+        self[word] = ids
+        return ids
 
     def ids(self, text: bytes) -> bytes:
-        words = text.split()
-        new = [w for w in {*words} if w not in self] if words else []
-        if len(self) + len(new) > REMEMBERED:
-            self.clear()
-            new = list({*words})
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)):
-                ids = e.ids
-                self[w] = b"".join([i.to_bytes(4, "little") for i in ids])
-        return b"".join(map(self.__getitem__, words))
+        out = b"".join(map(self.__getitem__, text.split()))
+        for table in (self, self.cores, self.tails):
+            if len(table) > REMEMBERED:
+                table.clear()
+        self.tails[""] = b""
+        return out
+
+
+_tables: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """The worker's table for a tokenizer file; it outlives a task."""
+    if path not in _tables:
+        _tables[path] = WordIds(path)
+    return _tables[path]
 
 
 def pieces_of(n: int, capacity: int = CAPACITY, min_fill: float = MIN_FILL) -> list[tuple[int, int, int]]:
@@ -148,7 +193,7 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, min_fill: float =
     """A row for each piece of each row of docs (doc_id, text). No shuffle: partitions are packed independently."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, packer = WordIds(path), Packer(capacity)
+        words, packer = word_ids(path), Packer(capacity)
         base = TaskContext.get().partitionId() << 40
         end = END.to_bytes(4, "little")
         cols: list[list] = [[] for _ in range(7)]
