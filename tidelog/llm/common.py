@@ -52,10 +52,28 @@ def n_blocks(docs: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES
     return max(MIN_BLOCKS, -(-total // block_bytes))
 
 
-def in_blocks(docs: DataFrame, n: int) -> DataFrame:
-    """part, doc_id, text (binary, null text: empty), dealt so that a block lies in one task. A block takes rows by a hash of id and text, so rows that repeat an id spread as well."""
+def in_blocks(docs: DataFrame, n: int, extra: list | None = None) -> DataFrame:
+    """part, doc_id, text and the extra columns text is binary, null text empty), dealt so that a block lies in one task. A block takes rows by a hash of id and text, so rows that repeat an id spread as well."""
     return docs.select(
         F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(n)).cast("int").alias("part"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
+        *(extra or []),
     ).repartition(n, "part")
+
+
+def block_table(docs: DataFrame, n: int, extra: list | None = None) -> DataFrame:
+    """in_blocks(docs), stored once as a table bucketed by part, so that later passes over the blocks shuffle no text.
+
+    The table stays in the session's warehouse (a shared folder on a cluster) until drop_block_tables().
+    """
+    spark = docs.sparkSession
+    name = f"tidelog_blocks_{uuid.uuid4().hex}"
+    in_blocks(docs, n, extra).write.option("compression", "zstd").bucketBy(n, "part").saveAsTable(name)
+    return spark.table(name)
+
+
+def drop_block_tables(spark: SparkSession) -> None:
+    for t in spark.catalog.listTables():
+        if t.name.startswith("tidelog_blocks_"):
+            spark.sql(f"DROP TABLE {t.name}")
