@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, lines, packing, quality, tokens, warc
+from . import decontaminate, lines, lm, near, packing, quality, spans, suffixes, tokens, warc
 from .common import rows_of
 
 
@@ -30,6 +30,18 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(index, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.dedup_spans(rows_of(spark, sf_dir, "documents"))
+
+
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(rows_of(spark, sf_dir, "documents"))
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.suffix_dedup(rows_of(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(rows_of(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -38,6 +50,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup(rows_of(spark, sf_dir, "documents"))
 
 
+def op9_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_classes(rows_of(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(rows_of(spark, sf_dir, "documents"), rows_of(spark, sf_dir, "benchmark"))
 
@@ -45,7 +61,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_token_counts, op2_quality_rules, op3_warc, op7_packing, op8_line_dedup, op10_decontamination)
+        for f in (
+            op1_token_counts,
+            op2_quality_rules,
+            op3_warc,
+            op4_sentence_spans,
+            op5_lm_score,
+            op6_suffix_dedup,
+            op7_packing,
+            op8_line_dedup,
+            op9_bagminhash,
+            op10_decontamination,
+        )
     }
 
 
