@@ -65,11 +65,11 @@ def in_blocks(docs: DataFrame, n: int, extra: list | None = None) -> DataFrame:
 def block_table(docs: DataFrame, n: int, extra: list | None = None) -> DataFrame:
     """in_blocks(docs), stored once as a table bucketed by part, so that later passes over the blocks shuffle no text.
 
-    The table stays in the session's warehouse (a shared folder on a cluster) until drop_block_tables().
+    Its files lie in the shared folder; the session's catalog names it until drop_block_tables().
     """
     spark = docs.sparkSession
     name = f"tidelog_blocks_{uuid.uuid4().hex}"
-    in_blocks(docs, n, extra).write.option("compression", "zstd").bucketBy(n, "part").saveAsTable(name)
+    in_blocks(docs, n, extra).write.option("compression", "zstd").option("path", fresh_path(spark, "blocks")).bucketBy(n, "part").saveAsTable(name)
     return spark.table(name)
 
 
