@@ -142,7 +142,9 @@ def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """docs with the text that is left (n_chars follows it); documents that lost all their words go."""
-    out = _applied(docs, min_sites).where((F.col("_gone") == 0) | (F.length(F.translate("_text", SPACES, "")) > 0))
-    n_chars = {"n_chars": F.when(F.col("_gone") > 0, F.length("_text").cast("long")).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {}
-    out = out.withColumns({"text": F.col("_text")} | n_chars)
-    return out.select(docs.columns)
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "text", "source")
+    out = _applied(row, min_sites).where((F.col("_gone") == 0) | (F.length(F.translate("_text", SPACES, "")) > 0))
+    new = {"text": F.col("_text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("_gone") > 0, F.length("_text").cast("long")).otherwise(F.col("_row")["n_chars"])
+    return out.select(*[(new[c] if c in new else F.col("_row")[c]).alias(c) for c in docs.columns])
