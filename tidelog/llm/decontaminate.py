@@ -255,6 +255,10 @@ def chunks(items: list, width: int) -> list[list]:
     return out
 
 
+def _shifted(column: str, by: int):
+    return F.transform(column, lambda i: i + F.lit(by))
+
+
 def matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop: int = -1) -> tuple[DataFrame, list]:
     """FOUND rows, one for each row of docs and chunk of items, with items numbered as in the returned list."""
     tests = item_words(items)
@@ -264,7 +268,7 @@ def matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop: int = -
     for c in chunks(tests, width):
         w = index.sparkSession.sparkContext.broadcast(Windows(c, width))
         found = index.mapInArrow(lambda batches, w=w: _lookup(batches, w.value, slop), FOUND)
-        found = found.withColumns({k: F.transform(k, lambda i, base=base: i + base) for k in ("items", "near")}) if base else found
+        found = found.withColumns({k: _shifted(k, base) for k in ("items", "near")})
         out = found if out is None else out.unionByName(found)
         base += len(c)
     return out, tests
@@ -313,4 +317,4 @@ def keep_clean(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFra
     """The rows of docs, with their columns, in which no window of any item occurs."""
     found, _ = matches(docs, items, width)
     bad = found.where("n_hit > 0 and doc_id is not null").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(bad, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -281,4 +281,4 @@ def near_classes(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of docs, with their columns, that are the first of their class; rows that repeat an id stay together."""
     others = near_classes(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(others, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
