@@ -13,12 +13,12 @@ logarithm.
 Registers are banded (BANDS x ROWS); documents that share a band are candidates,
 and their multisets are compared exactly: similarity >= MIN_SIMILARITY makes a
 link, and classes are the links' components, named by their smallest document.
-Copies of a text are folded into their smallest document first. Within a band's
-group, rounds compare all members with one pivot each, which joins most of them;
-groups whose members are then in one component need no more. Only for those that
-aren't, the pairs that lie across components are compared too, if their sizes
-allow the similarity, so no link between components is lost and no group is
-expanded into all its pairs. Candidates of 0.8 are missed with probability 5e-8.
+Copies of a text are folded into their smallest document first. Each band's group
+is compared with its smallest member, which joins most of them. Where groups still
+lie in several components, candidates come from their rarest shingles, which
+misses none: first with one pivot each, then in pairs across what is still apart,
+so no group is expanded into all its pairs. Candidates of 0.8 are missed with
+probability 5e-8.
 
 Everything after the signatures is joins and aggregations of narrow saved rows,
 so that Spark can split a hot group's rows.
@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, saved
@@ -45,7 +45,6 @@ WIDTH, BANDS, ROWS = 5, 32, 4
 M = BANDS * ROWS
 #: Similarity as a fraction, so that it is compared in integers.
 MIN_SIMILARITY = (4, 5)
-ROUNDS = 4
 #: Elements whose processes are run at once, and words that a worker remembers.
 BATCH, REMEMBERED = 1 << 17, 1 << 19
 _U = np.uint64
@@ -214,42 +213,72 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.mapInArrow(_linked, "a long, b long")
 
 
-def _links(groups: DataFrame, sets: DataFrame) -> DataFrame | None:
-    """Verified links (a, b) that join all of a component. groups: key, doc, n of documents that share a band."""
-    links = tested = None
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for row in range(b.num_rows):
+            items, counts = np.frombuffer(b.column(2)[row].as_py(), np.int64), np.frombuffer(b.column(3)[row].as_py(), np.uint32)
+            same = lambda v: pa.array(np.full(len(items), v, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [same(b.column(0)[row].as_py()), same(b.column(1)[row].as_py()), pa.array(items), pa.array(counts.astype(np.int64))],
+                names=["doc", "n", "item", "c"],
+            )
+
+
+def _rarest(left: DataFrame, sets: DataFrame) -> DataFrame:
+    """item, doc, n, before, alone: the rarest shingles of each of left (doc, n) up to a fifth of its elements, with the
+    elements that stand before them and, of all elements, those that no other document of left has."""
+    items = saved(left.join(sets, "doc").select("doc", "n", "items", "counts").mapInArrow(_items, "doc long, n long, item long, c long"), "items")
+    df = saved(items.groupBy("item").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "frequencies")
+    known = items.join(df, "item", "left").withColumn("df", F.coalesce("df", F.lit(1)))
+    of_doc = Window.partitionBy("doc")
+    before = F.sum("c").over(of_doc.orderBy("df", "item").rowsBetween(Window.unboundedPreceding, 0)) - F.col("c")
+    alone = F.sum(F.when(F.col("df") == 1, F.col("c")).otherwise(0)).over(of_doc)
+    ranked = known.withColumns({"before": before, "alone": alone})
+    return saved(ranked.where("df > 1 and before * 5 <= n").select("item", "doc", "n", "before", "alone"), "rarest")
+
+
+def _links(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Verified links (a, b) that join all of a component. groups: key, doc, n of documents that share a band.
+
+    First each group's members are compared with its smallest. Where groups still lie in several components, their documents'
+    rarest shingles are the groups instead: similar multisets of sizes m <= n share (m + n) 4/9 >= 8/9 m elements and at least
+    4/5 n, so the first common shingle, from rare to frequent, lies among the first ninth of the smaller and the first fifth of the
+    larger. Their members are compared with the one that has fewest elements of its own, as most of its copies are similar to
+    it; what then is in different components is compared in pairs.
+    """
+    pivots = saved(groups.groupBy("key").agg(F.min(F.struct("doc", "n")).alias("p")).select("key", F.col("p.doc").alias("pivot"), F.col("p.n").alias("m")), "pivots")
     num, den = MIN_SIMILARITY
     fits = F.least("n", "m") * den >= F.greatest("n", "m") * num
-    for round_ in range(ROUNDS + 1):
-        if links is None:
-            now = groups.withColumn("comp", F.col("doc"))
-        else:
-            comps = components(links).withColumnRenamed("node", "doc")
-            now = groups.join(comps, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
-            now = saved(now.select("key", "doc", "n", "comp"), "groups")
-        order = F.col("doc") if not round_ else F.xxhash64("doc", F.lit(round_))
-        per = now.groupBy("key").agg(
-            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"), F.min(F.struct(order.alias("o"), "doc", "comp", "n")).alias("p")
-        )
-        # a pair is compared in the first round
-        per = per.where("lo <> hi" if not round_ else "size > 1").where("size > 2" if round_ else "true")
-        per = saved(per.select("key", F.col("p.doc").alias("pivot"), F.col("p.comp").alias("pivot_comp"), F.col("p.n").alias("m")), "pivots")
-        if per.isEmpty():
+    as_pair = (F.least("doc", "d").alias("a"), F.greatest("doc", "d").alias("b"))
+    pairs = groups.join(pivots.withColumnRenamed("pivot", "d"), "key").where("doc <> d").where(fits).select(*as_pair).distinct()
+    tested = saved(pairs, "pairs")
+    links = saved(_verified(tested, sets), "links")
+    rarest = None
+    for stage in ("groups", "rarest", "rest"):
+        comps = components(links).withColumnRenamed("node", "doc")
+        rows = (groups if rarest is None else rarest).join(comps, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
+        key = "key" if rarest is None else "item"
+        rows = saved(rows, "in-components")
+        apart = rows.groupBy(key).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
+        # a band's group of two is settled
+        apart = saved(apart.where("lo <> hi" + (" and size > 2" if rarest is None else "")).select(key), "apart")
+        rows = saved(rows.join(apart, key), "left")
+        if rows.isEmpty():
             break
-        if round_ < ROUNDS:
-            pairs = now.join(per, "key").where("comp <> pivot_comp").where(fits)
-            pairs = pairs.select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b"))
+        if stage == "groups":
+            rarest = _rarest(rows.select("doc", "n").distinct(), sets)
+            continue
+        if stage == "rarest":
+            least = rows.groupBy("item").agg(F.min(F.struct("alone", "doc", "n", "comp")).alias("p"))
+            other = saved(least.select("item", F.col("p.doc").alias("d"), F.col("p.n").alias("m"), F.col("p.comp").alias("c")), "pivots")
+            pairs = rows.join(other, "item").where("comp <> c").where(fits)
         else:
-            left = now.join(per.select("key"), "key")
-            left = saved(left, "left")
-            right = left.select("key", F.col("doc").alias("d"), F.col("n").alias("m"), F.col("comp").alias("c"))
-            pairs = left.join(right, "key").where("doc < d and comp <> c").where(fits).select(F.col("doc").alias("a"), F.col("d").alias("b"))
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = saved(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        found = saved(_verified(pairs, sets), "links")
-        links = found if links is None else links.union(found)
+            other = rows.where("before * 9 <= n").select("item", F.col("doc").alias("d"), F.col("n").alias("m"), F.col("comp").alias("c"), F.col("before").alias("b"))
+            # of the first common shingle on, both have to hold all that they share
+            pairs = rows.join(other, "item").where("m <= n and comp <> c").where(fits).where("least(n - before, m - b) * 9 >= (n + m) * 4")
+        pairs = saved(pairs.select(*as_pair).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = tested.union(pairs)
+        links = links.union(saved(_verified(pairs, sets), "links"))
     return links
 
 
@@ -269,8 +298,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     links = _links(groups, sets)
     # a copy is linked with its text's first document; rows that repeat an id unite their texts' classes
     several = members.where("doc <> rep").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
-    edges = several if links is None else several.union(links)
-    comps = components(edges)
+    comps = components(several.union(links))
     return (
         source.select("doc").join(comps.select(F.col("node").alias("doc"), "comp"), "doc", "left")
         .select(F.col("doc").alias("doc_id"), F.coalesce("comp", "doc").alias("class_id"))
