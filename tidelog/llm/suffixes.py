@@ -38,6 +38,8 @@ from .common import block_table, n_blocks, saved
 LENGTH, K = 50, 26
 #: Windows of one run at most, and positions hashed at once.
 RUN, CHUNK = 64, 1 << 19
+#: Bytes of text in a block: its arrays and a bucket's contexts have to fit a worker.
+BLOCK = 4 << 20
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -298,6 +300,35 @@ def _shared_names(table: pa.Table) -> pa.Table:
     return _answer(rows)
 
 
+def _slices(order: np.ndarray, names: np.ndarray, size: np.ndarray):
+    """order, in pieces of about CHUNK bytes that hold whole names."""
+    if len(order):
+        piece = np.cumsum(size[order]) // CHUNK
+        new = np.append(True, names[order][1:] != names[order][:-1])
+        # a name belongs to the piece in which it begins
+        piece = piece[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+        yield from np.split(order, np.flatnonzero(piece[1:] != piece[:-1]) + 1)
+
+
+def _joined_windows(contexts, names, start, n, begin, data, least) -> None:
+    """Sorts the contexts' windows within each name and gives equal ones their smallest document, in least."""
+    size = n[contexts] - 1 + LENGTH
+    own = np.cumsum(size) - size
+    text = data[np.repeat(start[contexts] - own, size) + np.arange(size.sum())]
+    m = n[contexts]
+    inside = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+    places, group = np.repeat(own, m) + inside, np.repeat(names[contexts], m)
+    at = np.repeat(begin[contexts], m) + inside
+    s = Suffixes(text)
+    sort = s.sort(places, group)
+    places, group, at = places[sort], group[sort], at[sort]
+    new = np.append(True, (group[1:] != group[:-1]) | ~s.equal(places[1:], places[:-1]))
+    klass = np.cumsum(new) - 1
+    best = np.full(klass[-1] + 1, _LAST)
+    np.minimum.at(best, klass, least[at])
+    least[at] = best[klass]
+
+
 def _smallest(table: pa.Table) -> pa.Table:
     """For every context that a block sent, the smallest document of each of its windows."""
     parts = table.column("part").to_pylist()
@@ -314,12 +345,11 @@ def _smallest(table: pa.Table) -> pa.Table:
     one = np.unique(which, return_index=True)[1]
     doc = np.full(len(index), _LAST)
     np.minimum.at(doc, which, docs)
+    del raw, index
     # their windows, with the context's document to begin with
     n = windows[one]
     begin = np.cumsum(n) - n
-    of = np.repeat(np.arange(len(one)), n)
-    window = np.arange(n.sum()) - begin[of]
-    least = doc[of]
+    least = np.repeat(doc, n)
     # names with several contexts: sort their windows
     order = np.argsort(names[one], kind="stable")
     sorted_names = names[one][order]
@@ -327,19 +357,10 @@ def _smallest(table: pa.Table) -> pa.Table:
     same = sorted_names[1:] == sorted_names[:-1]
     several[order[1:][same]] = True
     several[order[:-1][same]] = True
-    at = np.flatnonzero(several[of])
-    if len(at):
-        at = at[np.argsort(names[one][of[at]], kind="stable")]
-        s = Suffixes(data)
-        places = start[one][of[at]] + window[at]
-        group = names[one][of[at]]
-        sort = s.sort(places, group)
-        places, group, at = places[sort], group[sort], at[sort]
-        new = np.append(True, (group[1:] != group[:-1]) | ~s.equal(places[1:], places[:-1]))
-        klass = np.cumsum(new) - 1
-        best = np.full(klass[-1] + 1, _LAST)
-        np.minimum.at(best, klass, least[at])
-        least[at] = best[klass]
+    own = np.flatnonzero(several)
+    own = own[np.argsort(names[one][own], kind="stable")]
+    for some in _slices(own, names[one], size[one]):
+        _joined_windows(some, names[one], start[one], n, begin, data, least)
     rows, first = [], 0
     for part, k, m, d in zip(parts, per["keys"], per["more"], per["docs"]):
         w = which[first : first + len(k)]
@@ -361,7 +382,7 @@ def _joined(answers: pa.Table, column: str, kind) -> np.ndarray:
 
 def suffix_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each row of docs (doc_id, text)."""
-    n = n_blocks(docs)
+    n = n_blocks(docs, block_bytes=BLOCK)
     blocks = block_table(docs, n)
 
     def send_names(table: pa.Table) -> pa.Table:
