@@ -77,6 +77,31 @@ def test_lm(spark, docs, nulls, empty, context):
         assert sum(token(busy, w) for w in [*counts, b"never seen"]) == pytest.approx(1, rel=1e-9)
 
 
+def test_lm_every_word_is_a_state(spark):
+    """Words far under any share of the tokens have their followers counted, hot ones and rare ones alike."""
+    filler = " ".join(f"f{i * i % 97}" for i in range(60_000))
+    texts = [(0, filler)] + [(i, "rare bird sings. rare bird flies " + f"only{i % 4} here") for i in range(1, 14)]
+    words = {i: [*t.split(), None] for i, t in texts}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in words}
+    assert not held[0] and any(held.values())
+    counts, pairs = collections.Counter(), collections.defaultdict(collections.Counter)
+    for i, w in words.items():
+        if not held[i]:
+            counts.update(w)
+            for a, b in zip(["begin", *w], w):
+                pairs[a][b] += 1
+    total = sum(counts.values())
+    assert counts["only1"] > 1 and counts["only1"] / total < 1e-4
+
+    def token(a, w):
+        p, n = (counts[w] + 1) / (total + len(counts) + 1), sum(pairs[a].values())
+        return max(pairs[a][w] - lm.D, 0) / n + lm.D * len(pairs[a]) / n * p if n else p
+
+    got = {r.doc_id: r for r in lm.score(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)).collect()}
+    for i, w in words.items():
+        assert got[i].score == pytest.approx(sum(math.log10(token(a, x)) for a, x in zip(["begin", *w], w)), rel=1e-9)
+
+
 def test_lm_odd_tables(nulls, empty):
     assert lm.score(empty).count() == 0
     assert sorted((r.doc_id or -1, r.n_tokens) for r in lm.score(nulls).collect()) == [(-1, 1), (-1, 7), (1, 7)]

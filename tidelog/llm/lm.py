@@ -1,22 +1,25 @@
 """Language-model scores from a weighted backoff automaton.
 
 The model is a bigram model with absolute discounting over an add-one unigram
-model. As an automaton: each frequent word v (a share of at least CONTEXT of all
-training tokens, so there are at most 1 / CONTEXT of them) and the begin of a
-text are states. State v has an arc for each word w that followed v in training,
-with log10 of (c(vw) - D) / c(v) + D T(v) / c(v) p(w), T(v) being the number of
-distinct followers, and a failure arc of weight log10(D T(v) / c(v)) to the root,
-whose arcs are the unigrams. The probabilities of all followers of a state sum
-to 1. A text is traversed once from left to right; after a word the state is
-that word's, or the root where it has none, so a block's traversal is done on
-arrays.
+model. As an automaton: every word v that training has followers for and the
+begin of a text are states. State v has an arc for each word w that followed v
+in training, with log10 of (c(vw) - D) / c(v) + D T(v) / c(v) p(w), T(v) being the
+number of distinct followers, and a failure arc of weight log10(D T(v) / c(v)) to
+the root, whose arcs are the unigrams. The probabilities of all followers of a
+state sum to 1. A text is traversed once from left to right; after a word the
+state is that word's, or the root where training has none of it, so a block's
+traversal is done on arrays.
 
 Counts are taken over all training documents, block by block: a block sends its
 distinct words (and pairs) with its own counts to buckets by hash, a bucket adds
-them up and answers each block with the totals that differ from the block's own.
-Thus each block gets the part of the automaton that its texts can reach, no task
-gets more than that, and a word of a third of all tokens is one entry a block.
-Words are keyed by 64-bit hashes, pairs by the state's number and 50 bits.
+them up and answers each block with the totals, in the order in which the block
+sent them. Thus each block gets the part of the automaton that its texts can
+reach, no task gets more than that, and a word of a third of all tokens is one
+entry a block. Pairs lie in their state's bucket, which counts its followers.
+Only the pairs of hot states (words with a share of at least HOT of all training
+tokens, so there are at most 1 / HOT of them, and the begin) are dealt by the
+pair, and their followers are summed up over the buckets. Words are keyed by
+64-bit hashes.
 
 Defined cases: null and empty texts are the end token alone; a null doc_id counts
 as the empty string when it is drawn for training; repeated rows count each;
@@ -26,6 +29,8 @@ table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -34,8 +39,8 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, block_table, n_blocks, saved
 
-CONTEXT, D = 1e-4, 0.75
-_END = 0x9E3779B97F4A7C15
+HOT, D = 1e-4, 0.75
+_END, _STEP = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _U = np.uint64
 
@@ -72,107 +77,151 @@ class Texts:
     def counts(self) -> np.ndarray:
         return np.bincount(self.tokens[self.train], minlength=len(self.words))
 
-    def pairs(self, state_of: np.ndarray, begin: int):
-        """(state, token) of each token, -1 for the root; begin is the state at a text's begin."""
-        state = np.empty_like(self.tokens)
-        if len(state):
-            state[1:] = state_of[self.tokens[:-1]]
-            state[np.append(0, self.ends[:-1])] = begin
-        return state
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct pairs' first and second local words, and each token's pair. The first word of a text follows number len(words)."""
+        n = len(self.words)
+        before = np.empty_like(self.tokens)
+        if len(before):
+            before[1:] = self.tokens[:-1]
+            before[np.append(0, self.ends[:-1])] = n
+        pairs, inverse = np.unique(before * (n + 1) + self.tokens, return_inverse=True)
+        return pairs // (n + 1), pairs % (n + 1), inverse
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Numbers in as few bytes as the largest needs, first bytes first, so that they compress."""
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or not len(x) or x.max() < 1 << 8 * w)
+    return np.ascontiguousarray(x.astype(f"<u{width}")).view(np.uint8).reshape(-1, width).T.tobytes()
+
 
-    def pair_keys(self, state: np.ndarray) -> np.ndarray:
-        """A key of each token's (state, word): the state's number in the upper 14 bits, 50 bits of the word's hash."""
-        return (state.astype(_U) << _U(50)) | (self.words[self.tokens] >> _U(14))
+def _unpacked(x: bytes, n: int) -> np.ndarray:
+    width = len(x) // n
+    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(width, n).T).view(f"<u{width}").ravel().astype(np.int64)
 
 
-def _send(part: int, keys: np.ndarray, counts: np.ndarray, n: int) -> pa.Table:
-    """A row for each bucket: sorted keys and the block's own counts."""
-    bucket = _bucket(keys, n)
-    order = np.lexsort((keys, bucket))
-    bucket, keys, counts = bucket[order], keys[order], counts[order]
+def _slices(bucket: np.ndarray) -> dict[int, slice]:
     used, begin = np.unique(bucket, return_index=True)
-    ends = np.append(begin[1:], len(keys))
-    return pa.table(
-        {
-            "bucket": pa.array(used, pa.int64()),
-            "part": pa.array([part] * len(used), pa.int32()),
-            "keys": pa.array([keys[a:b].tobytes() for a, b in zip(begin, ends)], pa.binary()),
-            "counts": pa.array([counts[a:b].astype(np.uint32).tobytes() for a, b in zip(begin, ends)], pa.binary()),
-        }
-    )
+    return {int(b): slice(i, j) for b, i, j in zip(used, begin, np.append(begin[1:], len(bucket)))}
+
+
+def _word_order(texts: Texts, n: int) -> tuple[np.ndarray, dict[int, slice]]:
+    """The order in which a block's words are sent, and each bucket's part of it."""
+    bucket = _bucket(texts.words, n)
+    order = np.lexsort((texts.words, bucket))
+    return order, _slices(bucket[order])
+
+
+def _hot_numbers(texts: Texts, hot: np.ndarray) -> np.ndarray:
+    """The number in hot of each local word and of the begin (which is the last), -1 for others."""
+    out = np.full(len(texts.words) + 1, -1, np.int64)
+    if len(hot):
+        at = np.minimum(np.searchsorted(hot, texts.words), len(hot) - 1)
+        out[:-1] = np.where(hot[at] == texts.words, at, -1)
+    out[-1] = len(hot)
+    return out
+
+
+def _pair_order(texts: Texts, first: np.ndarray, second: np.ndarray, hot: np.ndarray, n: int):
+    """As _word_order, for pairs, and the state of each pair: a hot one's number or its word's hash."""
+    number = _hot_numbers(texts, hot)[first]
+    is_hot, word = number >= 0, texts.words[second]
+    state = np.where(is_hot, number.astype(_U), np.append(texts.words, _U(0))[first])
+    bucket = _bucket(np.where(is_hot, _mixed(word + state * _U(_STEP)), state), n)
+    order = np.lexsort((word, state, bucket))
+    return order, _slices(bucket[order]), state
+
+
+def _runs(x: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else np.empty(0, np.int64)
+
+
+SENT = "bucket long, part int, states binary, sizes binary, keys binary, counts binary"
+#: kind 0: totals of a block's words; 2: totals of its pairs, and the distinct followers of their states; 1: a bucket's sums
+#: (total, distinct) and its hot words, or the followers of hot states.
+ANSWER = "kind int, part int, bucket long, keys binary, counts binary, types binary, total long, n_distinct long"
 
 
-SENT = "bucket long, part int, keys binary, counts binary"
-#: kind 0: totals for a block; 1: a bucket's sums (total, distinct) and its frequent keys.
-ANSWER = "kind int, part int, keys binary, counts binary, total long, n_distinct long"
+def _table(schema: str, rows: list[tuple]) -> pa.Table:
+    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    names, kinds = zip(*(c.split() for c in schema.split(", ")))
+    return pa.table({n: pa.array(c, types[k]) for n, k, c in zip(names, kinds, zip(*rows) if rows else [[]] * len(names))})
 
 
-def _answers(table: pa.Table, frequent) -> pa.Table:
-    """The bucket's answers. frequent(keys, totals): keys and numbers for its row of kind 1."""
-    parts = table.column("part").to_pylist()
+def _sum_words(table: pa.Table) -> pa.Table:
+    """A bucket's answers: totals for each block, and words that have a share of HOT of its tokens (so all that have it of all)."""
+    parts, bucket = table.column("part").to_pylist(), table.column("bucket")[0].as_py()
     keys = [np.frombuffer(x.as_py(), _U) for x in table.column("keys")]
-    counts = [np.frombuffer(x.as_py(), np.uint32).astype(np.int64) for x in table.column("counts")]
+    counts = [_unpacked(x.as_py(), len(k)) for x, k in zip(table.column("counts"), keys)]
     distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
     totals = np.bincount(inverse, np.concatenate(counts), len(distinct)).astype(np.int64)
     rows, at = [], 0
-    for part, k, c in zip(parts, keys, counts):
-        t = totals[inverse[at : at + len(k)]]
+    for part, k in zip(parts, keys):
+        rows.append((0, part, bucket, None, _packed(totals[inverse[at : at + len(k)]]), None, 0, 0))
         at += len(k)
-        other = t != c
-        if other.any():
-            rows.append((0, part, k[other].tobytes(), t[other].tobytes(), 0, 0))
-    fk, fc = frequent(distinct, totals)
-    rows.append((1, -1, fk.tobytes(), fc.tobytes(), int(totals.sum()), int((totals > 0).sum())))
-    types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
-    return pa.table({n.split()[0]: pa.array(c, t) for n, c, t in zip(ANSWER.split(", "), zip(*rows), types)})
-
-
-def _totals(own: np.ndarray, keys: np.ndarray, answers: pa.Table, kind: int) -> np.ndarray:
-    """own, the counts of the sorted keys, with the buckets' totals where there are any."""
-    out = own.astype(np.int64).copy()
-    for k, x, c in zip(answers.column("kind").to_pylist(), answers.column("keys"), answers.column("counts")):
+    f = totals >= max(1, HOT * totals.sum())
+    rows.append((1, -1, bucket, distinct[f].tobytes(), totals[f].tobytes(), None, int(totals.sum()), int((totals > 0).sum())))
+    return _table(ANSWER, rows)
+
+
+def _sum_pairs(table: pa.Table, n_hot: int) -> pa.Table:
+    """A bucket's answers: totals and followers for each block, and what followers of hot states it has."""
+    parts, bucket = table.column("part").to_pylist(), table.column("bucket")[0].as_py()
+    keys = [np.frombuffer(x.as_py(), _U) for x in table.column("keys")]
+    counts = [_unpacked(x.as_py(), len(k)) for x, k in zip(table.column("counts"), keys)]
+    states = [np.frombuffer(x.as_py(), _U) for x in table.column("states")]
+    sizes = [_unpacked(x.as_py(), len(s)) for x, s in zip(table.column("sizes"), states)]
+    state, word = np.repeat(np.concatenate(states), np.concatenate(sizes)), np.concatenate(keys)
+    order = np.lexsort((word, state))
+    s, w = state[order], word[order]
+    new = np.append(True, (s[1:] != s[:-1]) | (w[1:] != w[:-1]))
+    inverse = np.empty(len(order), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    totals = np.bincount(inverse, np.concatenate(counts)).astype(np.int64)
+    s = s[new]
+    begin = _runs(s)
+    known, followers = s[begin], np.add.reduceat((totals > 0).astype(np.int64), begin)
+    rows, at = [], 0
+    for part, k, x in zip(parts, keys, states):
+        t = followers[np.searchsorted(known, x)]
+        rows.append((2, part, bucket, None, _packed(totals[inverse[at : at + len(k)]]), _packed(t), 0, 0))
+        at += len(k)
+    hot = known <= _U(n_hot)
+    rows.append((1, -1, bucket, known[hot].tobytes(), followers[hot].tobytes(), None, 0, 0))
+    return _table(ANSWER, rows)
+
+
+def _answers(answers: pa.Table, kind: int) -> Iterator[tuple[int, bytes, bytes]]:
+    for k, *row in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "counts", "types"))):
         if k == kind:
-            at = np.searchsorted(keys, np.frombuffer(x.as_py(), _U))
-            out[at] = np.frombuffer(c.as_py(), np.int64)
-    return out
+            yield tuple(row)
 
 
-def _word_totals(texts: Texts, answers: pa.Table) -> np.ndarray:
-    order = np.argsort(texts.words)
-    out = np.empty(len(order), np.int64)
-    out[order] = _totals(texts.counts()[order], texts.words[order], answers, 0)
+def _word_totals(texts: Texts, answers: pa.Table, n: int) -> np.ndarray:
+    order, slices = _word_order(texts, n)
+    out = np.zeros(len(order), np.int64)
+    for bucket, counts, _ in _answers(answers, 0):
+        own = order[slices[bucket]]
+        out[own] = _unpacked(counts, len(own))
     return out
 
 
-def _states(texts: Texts, contexts: np.ndarray) -> np.ndarray:
-    """The state of each local word, -1 for the root. The end has none: nothing follows it."""
-    if not len(contexts):
-        return np.full(len(texts.words), -1, np.int64)
-    at = np.minimum(np.searchsorted(contexts, texts.words), len(contexts) - 1)
-    state = np.where(contexts[at] == texts.words, at, -1)
-    state[0] = -1
-    return state
+def score(docs: DataFrame, context: float = 0.0, discount: float = D) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row of docs (doc_id, text).
 
-
-def score(docs: DataFrame, context: float = CONTEXT, discount: float = D) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row of docs (doc_id, text)."""
+    Words under a share of context of all training tokens have no state; by default all words that occur have one.
+    """
     n = n_blocks(docs)
     held = (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2).alias("held_out")
     blocks = block_table(docs, n, [held])
 
     def count_words(table: pa.Table) -> pa.Table:
-        texts = Texts(table)
-        return _send(table.column("part")[0].as_py(), texts.words, texts.counts(), n)
-
-    def sum_words(table: pa.Table) -> pa.Table:
-        # a word with a share of context of all tokens has it of its bucket's as well
-        def frequent(k, t):
-            f = t >= max(1, context * t.sum())
-            return k[f], t[f]
-
-        return _answers(table, frequent)
+        texts, part = Texts(table), table.column("part")[0].as_py()
+        order, slices = _word_order(texts, n)
+        keys, counts = texts.words[order], texts.counts()[order]
+        return _table(SENT, [(b, part, None, None, keys[i].tobytes(), _packed(counts[i])) for b, i in slices.items()])
 
-    words = saved(blocks.groupBy("part").applyInArrow(count_words, SENT).groupBy("bucket").applyInArrow(sum_words, ANSWER), "lm-words")
+    words = saved(blocks.groupBy("part").applyInArrow(count_words, SENT).groupBy("bucket").applyInArrow(_sum_words, ANSWER), "lm-words")
     sums = words.where("kind = 1")
     total, distinct = (x or 0 for x in sums.agg(F.sum("total"), F.sum("n_distinct")).first())
 
@@ -180,32 +229,31 @@ def score(docs: DataFrame, context: float = CONTEXT, discount: float = D) -> Dat
         for b in batches:
             k = np.frombuffer(b"".join(x.as_py() for x in b.column(0)), np.int64)
             c = np.frombuffer(b"".join(x.as_py() for x in b.column(1)), np.int64)
-            f = c >= max(1, context * total)
+            f = c >= max(1, HOT * total)
             yield pa.RecordBatch.from_arrays([pa.array(k[f]), pa.array(c[f])], names=["k", "c"])
 
-    # at most 1 / context rows, whatever the corpus
+    # at most 1 / HOT rows, whatever the corpus
     found = sorted((r.k & (1 << 64) - 1, r.c) for r in sums.select("keys", "counts").mapInArrow(above, "k long, c long").collect())
     n_texts = next((c for k, c in found if k == _END), None)
-    contexts = np.array([k for k, _ in found if k != _END], _U)
-    seen = np.array([c for k, c in found if k != _END], np.int64)
-    if n_texts is None:  # few long texts: the end isn't frequent
+    hot = np.array([k for k, _ in found if k != _END], _U)
+    if n_texts is None:  # few long texts: the end isn't hot
         n_texts = docs.where(~held).count()
-    seen, begin = np.append(seen, n_texts), len(contexts)
 
     def count_pairs(table: pa.Table) -> pa.Table:
-        texts = Texts(table)
-        state = texts.pairs(_states(texts, contexts), begin)
-        there = state >= 0
-        keys, inverse = np.unique(texts.pair_keys(state)[there], return_inverse=True)
-        return _send(table.column("part")[0].as_py(), keys, np.bincount(inverse[texts.train[there]], minlength=len(keys)), n)
-
-    def sum_pairs(table: pa.Table) -> pa.Table:
-        def followers(k, t):
-            s, c = np.unique((k[t > 0] >> _U(50)).astype(np.int64), return_counts=True)
-            return s.astype(_U), c.astype(np.int64)
-
-        return _answers(table, followers)
-
+        texts, part = Texts(table), table.column("part")[0].as_py()
+        first, second, inverse = texts.pairs()
+        order, slices, state = _pair_order(texts, first, second, hot, n)
+        own = np.bincount(inverse[texts.train], minlength=len(first))[order]
+        state, keys = state[order], texts.words[second[order]]
+        rows = []
+        for b, i in slices.items():
+            s = state[i]
+            begin = _runs(s)
+            rows.append((b, part, s[begin].tobytes(), _packed(np.diff(np.append(begin, len(s)))), keys[i].tobytes(), _packed(own[i])))
+        return _table(SENT, rows)
+
+    n_hot = len(hot)
+    sum_pairs = lambda table: _sum_pairs(table, n_hot)
     pairs = saved(blocks.groupBy("part").applyInArrow(count_pairs, SENT).groupBy("bucket").applyInArrow(sum_pairs, ANSWER), "lm-pairs")
 
     def listed(batches):
@@ -217,26 +265,31 @@ def score(docs: DataFrame, context: float = CONTEXT, discount: float = D) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array(sums.keys(), pa.int64()), pa.array(sums.values(), pa.int64())], names=["s", "c"])
 
     per_state = pairs.where("kind = 1").select("keys", "counts").mapInArrow(listed, "s long, c long")
-    types = np.zeros(begin + 1, np.int64)
-    for r in per_state.groupBy("s").agg(F.sum("c").alias("c")).collect():  # a row for each state at most
-        types[r.s] = r.c
-    seen = np.maximum(seen, 1)
+    hot_types = np.zeros(n_hot + 1, np.int64)
+    for r in per_state.groupBy("s").agg(F.sum("c").alias("c")).collect():  # a row for each hot state at most
+        hot_types[r.s] = r.c
 
     def scored(table: pa.Table, answers: pa.Table) -> pa.Table:
         texts = Texts(table)
-        c = _word_totals(texts, answers)
+        c = _word_totals(texts, answers, n)
         p = (c + 1) / (total + distinct + 1)
         unigram = np.log10(p)
-        state = texts.pairs(_states(texts, contexts), begin)
-        back = np.where(types > 0, discount * types / seen, 1.0)
-        logs = unigram[texts.tokens]
-        at = np.flatnonzero(state >= 0)
-        if len(at):
-            keys, inverse = np.unique(texts.pair_keys(state)[at], return_inverse=True)
-            own = np.bincount(inverse[texts.train[at]], minlength=len(keys))
-            followed = _totals(own, keys, answers, 1)[inverse]
-            s = state[at]
-            logs[at] = np.log10(np.maximum(followed - discount, 0) / seen[s] + back[s] * p[texts.tokens[at]])
+        first, second, inverse = texts.pairs()
+        order, slices, state = _pair_order(texts, first, second, hot, n)
+        followed, types = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        for bucket, counts, followers in _answers(answers, 2):
+            own = order[slices[bucket]]
+            followed[own] = _unpacked(counts, len(own))
+            begin = _runs(state[own])
+            types[own] = np.repeat(_unpacked(followers, len(begin)), np.diff(np.append(begin, len(own))))
+        number = _hot_numbers(texts, hot)[first]
+        types = np.where(number >= 0, hot_types[number], types)
+        begins_text = first == len(texts.words)
+        seen = np.where(begins_text, n_texts, np.append(c, 0)[first])
+        there = begins_text | (seen >= max(1, context * total))
+        seen = np.maximum(seen, 1)
+        back = np.where(there & (types > 0), discount * types / seen, 1.0)
+        logs = np.log10(np.where(there, np.maximum(followed - discount, 0) / seen, 0) + back * p[second])[inverse]
         begins = np.append(0, texts.ends[:-1]) if len(texts.ends) else texts.ends
         per = lambda x: np.add.reduceat(x, begins) if len(begins) else x
         return pa.table(
@@ -251,7 +304,7 @@ def score(docs: DataFrame, context: float = CONTEXT, discount: float = D) -> Dat
             }
         )
 
-    both = words.where("kind = 0").unionByName(pairs.where("kind = 0").withColumn("kind", F.lit(1)))
+    both = words.where("kind = 0").unionByName(pairs.where("kind = 2"))
     return (
         blocks.groupBy("part")
         .cogroup(both.groupBy("part"))
