@@ -190,6 +190,14 @@ def test_spans(spark, docs, nulls, empty):
     assert bag(spans.dedup_spans(nulls), "doc_id", "n_removed") == {(None, 0): 2, (1, 0): 1}
 
 
+def test_spans_in_long_sentences(spark):
+    """A passage without .!? is found behind lead-ins of any length, all but the words at its ends."""
+    passage = " ".join(f"w{i * i * 7919 % 1009}" for i in range(500))
+    texts = [(i, " ".join(f"lead{i}x{k}" for k in range(3 + 2 * i)) + " " + passage + f" tail{i} end") for i in range(4)]
+    got = {r.doc_id: r.text for r in spans.dedup_spans(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got[0] == texts[0][1] and all(len(got[i].split()) < 5 + 2 * i + 60 for i in range(1, 4))
+
+
 @pytest.mark.parametrize("chunk", [10**6, 3])
 def test_decontamination(spark, docs, nulls, empty, monkeypatch, chunk):
     monkeypatch.setattr(decontaminate, "CHUNK_WINDOWS", chunk)
