@@ -198,6 +198,21 @@ def test_spans_in_long_sentences(spark):
     assert got[0] == texts[0][1] and all(len(got[i].split()) < 5 + 2 * i + 60 for i in range(1, 4))
 
 
+def test_spans_of_short_sentences(spark, tmp_path):
+    """Repeated lines of few words, and paragraphs of a script without spaces, go whole."""
+    from tidelog.llm import queries
+
+    verse = "".join(f"line {i} is\n" for i in range(50)) + "the end\n"
+    han = "".join(chr(0x4E00 + i * i * 31 % 5000) for i in range(300))
+    texts = [(1, "One lead of a text.\n" + verse), (2, "Some other lead here.\n" + verse), (3, "前" + han), (4, "後段" + han), (5, "one. two. three."), (6, "one. two. three.")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.text for r in queries.op4_sentence_spans(spark, f"file://{tmp_path}").collect()}
+    assert got[2] == "Some other lead here.\n" and len(got[4]) < 40
+    assert all(got[i] == t for i, t in texts if i not in (2, 4))
+    assert b"".join(s for s, _ in spans.sentences(f"a {han} b".encode())) == f"a {han} b".encode()
+    assert spans.runs([3, 3, 3, 3, 1], True) == [(0, 4), (1, 5)] and spans.runs([12, 3, 4], True) == [(0, 2), (0, 3)]
+
+
 @pytest.mark.parametrize("chunk", [10**6, 3])
 def test_decontamination(spark, docs, nulls, empty, monkeypatch, chunk):
     monkeypatch.setattr(decontaminate, "CHUNK_WINDOWS", chunk)

@@ -31,7 +31,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spans.dedup_spans(rows_of(spark, sf_dir, "documents"))
+    return spans.dedup_spans(rows_of(spark, sf_dir, "documents"), extend=True)
 
 
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
