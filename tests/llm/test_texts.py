@@ -247,6 +247,20 @@ def test_decontamination(spark, docs, nulls, empty, monkeypatch, chunk):
     assert decontaminate.contamination(nulls, bench.limit(0)).where("contaminated").count() == 0
 
 
+def test_decontamination_of_repeated_ids_in_chunks(spark, docs, monkeypatch):
+    """Chunks of a large benchmark are united by row: rows that repeat an id or have none stay separate."""
+    odd = [(1, "one two three four"), (1, "five six seven eight"), (1, "one two three four"), (None, "five six seven eight"), (None, "no hit in this"), (None, None)]
+    both = docs.select("doc_id", "text").union(spark.createDataFrame(odd, "doc_id long, text string"))
+    bench = spark.createDataFrame([(1, "one two"), (2, "three four"), (3, "six seven eight")], "item_id long, text string")
+    cols = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "n_near")
+    whole = bag(decontaminate.contamination(both, bench), *cols)
+    monkeypatch.setattr(decontaminate, "CHUNK_WINDOWS", 1)
+    assert bag(decontaminate.contamination(both, bench), *cols) == whole
+    assert sum(whole.values()) == docs.count() + 6
+    short = collections.Counter(k[:4] for k in whole.elements() if k[1] == 4 and k[0] in (1, None))
+    assert short == {(1, 4, 4, 2): 2, (1, 4, 3, 1): 1, (None, 4, 3, 1): 1, (None, 4, 0, 0): 1}
+
+
 def test_proximity(spark):
     d = spark.createDataFrame([(1, "red x green blue"), (2, "blue green x x x x x x x x x red"), (3, "red green"), (4, "red green blue")], "doc_id long, text string")
     b = spark.createDataFrame([(7, "red green blue")], "item_id long, text string")

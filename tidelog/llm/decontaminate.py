@@ -26,6 +26,7 @@ separate rows; an empty table of documents gives no rows, one of items no hits.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +43,7 @@ CHUNK_WINDOWS = 200_000
 BLOCK = 4 << 20
 GAP = 1
 
-INDEX = "doc_ids binary, null_ids binary, starts binary, n_words binary, terms array<binary>, ends binary, positions binary"
+INDEX = "block string, doc_ids binary, null_ids binary, starts binary, n_words binary, terms array<binary>, ends binary, positions binary"
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -77,6 +78,7 @@ def _index_rows(batches: Iterator[pa.RecordBatch], terms: frozenset | None) -> I
         names = sorted(known, key=known.get)
         return pa.RecordBatch.from_arrays(
             [
+                pa.array([uuid.uuid4().hex]),  # the index is written once, so a block keeps its name
                 pa.array([np.array([i or 0 for i in ids], np.int64).tobytes()], pa.binary()),
                 pa.array([np.array([i is None for i in ids], np.bool_).tobytes()], pa.binary()),
                 pa.array([np.array(starts, np.int32).tobytes()], pa.binary()),
@@ -199,7 +201,8 @@ class Block:
         return alive[which], place
 
 
-FOUND = "doc_id long, n_words long, n_hit long, items array<int>, near array<int>, hits binary"
+#: block and row number a document's row, whatever its id.
+FOUND = "block string, row int, doc_id long, n_words long, n_hit long, items array<int>, near array<int>, hits binary"
 
 
 def _lookup(batches: Iterator[pa.RecordBatch], w: Windows, slop: int) -> Iterator[pa.RecordBatch]:
@@ -227,6 +230,8 @@ def _lookup(batches: Iterator[pa.RecordBatch], w: Windows, slop: int) -> Iterato
             ]
             yield pa.RecordBatch.from_arrays(
                 [
+                    pa.array([row["block"]] * len(b.starts), pa.string()),
+                    pa.array(np.arange(len(b.starts)), pa.int32()),
                     pa.array([None if n else i for i, n in zip(b.doc_ids.tolist(), b.nulls.tolist())], pa.int64()),
                     pa.array(b.n_words, pa.int64()),
                     pa.array(np.asarray(n_hit, np.int64)),
@@ -278,13 +283,14 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop: i
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and n_near of each row of docs.
 
     n_near counts items with a proximity match. With more than one chunk of test windows, the hit words of the chunks are
-    united by document id, so ids have to be unique then.
+    united by the document's row in the index.
     """
     found, tests = matches(docs, items, width, slop)
     ids = [str(i) if i is not None else None for i, _ in tests]
     several = len(chunks(tests, width)) > 1
     if several:
-        found = found.groupBy("doc_id", "n_words").agg(
+        found = found.groupBy("block", "row").agg(
+            F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
             F.collect_list("hits").alias("all_hits"), F.flatten(F.collect_list("items")).alias("items"), F.flatten(F.collect_list("near")).alias("near")
         )
     else:
