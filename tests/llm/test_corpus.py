@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidelog.llm import lm, near, suffixes, warc
 from tidelog.llm.common import LOWER
@@ -33,8 +34,9 @@ def test_warc(spark, empty):
     payloads = {r.page_id: bytes(r.payload) for r in got.where("record_type = 'response' and page_id is not null").collect()}
     assert payloads == {3: "<p>é</p>".encode(), 7: b"", 9: b"z" * 300_000}
     assert [r.page_id for r in warc.read(index.where("page_id = 5")).collect()] == [5]
-    all_kept = warc.read(warc.write(df, min_bytes=9))
-    assert all_kept.where("page_id = 5").first().refers_to is not None if len("<p>é</p>".encode()) >= 9 else all_kept.where("page_id = 5").first().refers_to is None
+    assert len("<p>é</p>".encode()) == 9
+    assert warc.read(warc.write(df, min_bytes=9)).where("page_id = 5").first().refers_to == 3
+    assert warc.read(warc.write(df, min_bytes=10)).where("page_id = 5").first().refers_to is None
     assert warc.read(warc.write(df.limit(0))).count() == 0
 
 
@@ -214,6 +216,32 @@ def test_near_chain(spark):
     assert got == brute_classes(chain + star) and set(got.values()) == {0, 100}
 
 
+def test_near_of_repeated_ids(spark, nulls, empty):
+    """Rows of one id with different texts: near copies of either text are in the id's class, whichever row comes first."""
+    r = np.random.default_rng(3)
+    a, b, c = ([f"w{x}" for x in r.integers(0, 10**6, 100)] for _ in range(3))
+    near_copy = lambda w: " ".join([*w[:50], "other", *w[51:]])
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (7, near_copy(a)), (8, near_copy(b)), (9, " ".join(c)), (5, " ".join(a)), (None, " ".join(a))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for order in (df, df.orderBy("text"), df.orderBy(F.desc("text"))):
+        got = {x.doc_id: x.class_id for x in near.near_classes(order).collect()}
+        assert got == {5: 5, 7: 5, 8: 5, 9: 9, None: None}
+    kept = near.keep_first(df)
+    assert sorted((x.doc_id or -1) for x in kept.collect()) == [-1, 5, 5, 5, 9]
+    assert near.keep_first(empty).count() == 0 and near.keep_first(nulls).columns == nulls.columns and near.keep_first(nulls).count() == 3
+
+
+def test_long_paths_take_few_levels(spark, monkeypatch):
+    """A sorted path and a shuffled one of a thousand edges."""
+    made = collections.Counter()
+    real = near.saved
+    monkeypatch.setattr(near, "saved", lambda df, name: made.update([name]) or real(df, name))
+    shuffled = [int(x) for x in np.random.default_rng(0).permutation(1001) + 5000]
+    df = spark.createDataFrame([(i, i + 1) for i in range(1000)] + list(zip(shuffled, shuffled[1:])), "a long, b long").repartition(2)
+    assert {x.comp for x in near.components(df).collect()} == {0, 5000}
+    assert made["edges"] <= 12
+
+
 def test_signatures_are_unbiased():
     r = np.random.default_rng(0)
     items = np.sort(r.integers(0, 1 << 62, 300)).astype(np.uint64)
@@ -242,7 +270,7 @@ def test_components(spark):
 
 
 def test_pipeline(spark, docs, tmp_path):
-    """Each stage against its operator's plain version, each on its own input."""
+    """Near dedup against a plain version on its own input, and what the stages have in common; the other operators have theirs above."""
     import corpus_pipeline
 
     table = docs.dropDuplicates(["doc_id"])

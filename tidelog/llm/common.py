@@ -39,7 +39,19 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._saved_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes what saved() wrote for frames. Only for frames that nothing unsaved is made from any more."""
+    for df in frames:
+        spark, path = df.sparkSession, getattr(df, "_saved_at", None)
+        if path:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            df._saved_at = None
 
 
 def rows_of(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

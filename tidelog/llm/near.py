@@ -10,23 +10,26 @@ weighted Jaccard similarity, and since points of a process come in order, a
 process is left as soon as it is later than all registers, and a weight costs its
 logarithm.
 
-Registers are banded (BANDS x ROWS); documents that share a band are candidates,
-and their multisets are compared exactly: similarity >= MIN_SIMILARITY makes a
-link, and classes are the links' components, named by their smallest document.
-Copies of a text are folded into their smallest document first. Each band's group
-is compared with its smallest member, which joins most of them. Where groups still
-lie in several components, candidates come from their rarest shingles, which
-misses none: first with one pivot each, then in pairs across what is still apart,
-so no group is expanded into all its pairs. Candidates of 0.8 are missed with
-probability 5e-8.
+Registers are banded (BANDS x ROWS); texts that share a band are candidates, and
+their multisets are compared exactly: similarity >= MIN_SIMILARITY makes a link,
+and classes are the links' components, named by their smallest document. Copies
+of a text are one text, numbered in the order of their smallest documents. Each
+band's group is compared with its smallest text, which joins most of them. Where
+groups still lie in several components, the method's bands are helped by an exact
+prefix filter: candidates come from their texts' rarest shingles, which misses
+none: first with one pivot each, then in pairs across what is still apart. A pair
+is made only where both can still share enough after their first common shingle.
+Candidates of 0.8 are missed with probability 5e-8.
 
 Everything after the signatures is joins and aggregations of narrow saved rows,
 so that Spark can split a hot group's rows.
 
-Defined cases: documents without words are their own class; fewer words than
-WIDTH make one shingle; a null doc_id has a null class and stays; rows that repeat
-an id are one document whose links are united; texts may be of any length; an
-empty table gives no rows.
+Defined cases: documents without words (null and empty texts too) are their own
+class; fewer words than WIDTH make one shingle; a null doc_id has a null class and
+stays; rows that repeat an id are one document, which unites the classes of all its
+texts; of equally small texts the one with the smaller digest is the pivot; texts
+may be of any length; an empty table gives no rows; columns other than doc_id and
+text aren't looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,14 +42,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, saved
+from .common import LOWER, discard, saved
 
 WIDTH, BANDS, ROWS = 5, 32, 4
 M = BANDS * ROWS
 #: Similarity as a fraction, so that it is compared in integers.
 MIN_SIMILARITY = (4, 5)
-#: Elements whose processes are run at once, and words that a worker remembers.
-BATCH, REMEMBERED = 1 << 17, 1 << 19
+#: Elements whose processes are run at once, and words of at most LONGEST bytes that a worker remembers.
+BATCH, REMEMBERED, LONGEST = 1 << 17, 1 << 19, 64
 _U = np.uint64
 _MIX1, _MIX2, _STEP = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB), 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -60,7 +63,9 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= LONGEST:
+            self[word] = h
         return h
 
 
@@ -126,15 +131,15 @@ def band_keys(sig: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc, name, n and bands of doc, name, text; no name, n 0 and no bands for a text without words."""
     known = _Words()
 
     def made(rows, sets):
         keys = band_keys(signatures(sets)) if rows else np.empty((0, BANDS), np.int64)
-        names = [xxhash.xxh3_128_digest(t) if len(s) else None for (_, t), (s, _) in zip(rows, sets)]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([i for i, _ in rows], pa.int64()),
-                pa.array(names, pa.binary()),
+                pa.array([x if len(s) else None for (_, x), (s, _) in zip(rows, sets)], pa.binary()),
                 pa.array([int(c.sum()) for _, c in sets], pa.int64()),
                 pa.array([k.tolist() if len(s) else None for k, (s, _) in zip(keys, sets)], pa.list_(pa.int64())),
             ],
@@ -143,10 +148,9 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     rows, sets, size = [], [], 0
     for b in batches:
-        for i, t in zip(b.column(0).to_pylist(), b.column(1)):
-            text = t.as_py() or b""
-            sets.append(shingles(text, known))
-            rows.append((i, text))
+        for i, x, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            sets.append(shingles(t.as_py() or b"", known))
+            rows.append((i, x))
             size += len(sets[-1][0])
             if size >= BATCH:
                 yield made(rows, sets)
@@ -156,6 +160,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """text number, items and counts of text number, text."""
     known = _Words()
     for b in batches:
         sets = [shingles(t.as_py() or b"", known) for t in b.column(1)]
@@ -184,27 +189,49 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([c[r] for r in keep], pa.int64()) for c in ids], names=["a", "b"])
 
 
+def _ends(names: DataFrame) -> DataFrame:
+    """names (node, to) with to replaced by the end of its chain: pointer doubling, a round for each doubling of the longest one."""
+    while True:
+        up = names.select(F.col("node").alias("to"), F.col("to").alias("far"))
+        further = saved(names.select("node", "to").join(up, "to").select("node", F.col("far").alias("to"), (F.col("far") != F.col("to")).alias("moved")), "names")
+        discard(names)
+        names = further
+        if names.where("moved").isEmpty():
+            return names
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, comp (the smallest node of its component) for every node of edges (a, b).
 
-    Every node takes its smallest neighbour's name, the edges are renamed, and what still differs is solved in the same way.
-    A level more than halves the nodes of each component that isn't one yet.
+    On each level every node points to the first of itself and its neighbours, all nodes of a tree of pointers take its root's
+    name, the edges are renamed, and what still differs is solved in the same way. Nodes are ordered by their numbers on the
+    first level (which ends stars and sorted paths at once) and by fresh hashes on the later ones, where a node with
+    neighbours is a root with a chance of one half at most: so levels are as many as the logarithm of a component's nodes.
     """
     levels = []
-    edges = saved(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    while not edges.isEmpty():
-        names = saved(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("to")).withColumnRenamed("a", "node"), "names")
+    now = saved(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "edges")
+    while not now.isEmpty():
+        rank = lambda c: F.struct((F.xxhash64(F.col(c), F.lit(len(levels))) if levels else F.col(c)).alias("r"), F.col(c).alias("v"))
+        names = _ends(saved(now.groupBy("a").agg(F.least(F.min(rank("b")), F.min(rank("a")))["v"].alias("to")).withColumnRenamed("a", "node"), "names"))
         levels.append(names)
-        renamed = edges.join(names.select(F.col("node").alias("a"), F.col("to").alias("x")), "a")
+        renamed = now.join(names.select(F.col("node").alias("a"), F.col("to").alias("x")), "a")
         renamed = renamed.join(names.select(F.col("node").alias("b"), F.col("to").alias("y")), "b")
-        edges = saved(renamed.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
+        left = saved(renamed.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
+        discard(now)
+        now = left
     if not levels:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("comp"))
-    out = levels[0].withColumnRenamed("to", "comp")
+        return now.select(F.col("a").alias("node"), F.col("b").alias("comp"))
+    out = levels[0].select("node", F.col("to").alias("comp"))
+    if len(levels) == 1:
+        return out  # the first level's roots are their trees' smallest nodes
     for names in levels[1:]:
         up = names.select(F.col("node").alias("comp"), "to")
         out = out.join(up, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
-    return saved(out, "components")
+    out = saved(out, "roots")
+    least = saved(out.groupBy("comp").agg(F.min("node").alias("least")), "least")
+    named = saved(out.join(least, "comp").select("node", F.col("least").alias("comp")), "components")
+    discard(out, least, *levels)
+    return named
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -285,28 +312,43 @@ def _links(groups: DataFrame, sets: DataFrame) -> DataFrame:
 def near_classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (the smallest document of the class), kept (it is that document), a row for each row of docs."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("binary").alias("text"))
+    source = source.withColumn("name", F.unhex(F.md5("text"))).select("doc", "name", "text")
     signed = saved(source.mapInArrow(_signed, "doc long, name binary, n long, bands array<long>"), "signatures")
     named = signed.where("doc is not null and name is not null")
-    firsts = saved(named.groupBy("name").agg(F.min("doc").alias("rep")), "texts")
-    members = saved(named.select("doc", "name").join(firsts, "name").select("doc", "rep"), "members")
-    reps = named.select("doc", "name", "n", "bands").join(firsts, "name").where("doc = rep").dropDuplicates(["name"])
-    banded = saved(reps.select("doc", "n", F.explode("bands").alias("key")), "bands")
+    # texts are numbered in the order of their smallest documents, so that a smaller number is a smaller document
+    firsts = saved(named.groupBy("name").agg(F.min("doc").alias("rep")), "first-documents")
+    numbered = firsts.repartitionByRange("rep", "name").sortWithinPartitions("rep", "name").withColumn("t", F.monotonically_increasing_id())
+    texts = saved(numbered, "texts")
+    discard(firsts)
+    members = saved(named.select("doc", "name").join(texts, "name").select("doc", "t").distinct(), "members")
+    reps = named.select("doc", "name", "n", "bands").join(texts, "name").where("doc = rep").dropDuplicates(["name"])
+    banded = saved(reps.select(F.col("t").alias("doc"), "n", F.explode("bands").alias("key")), "bands")
+    discard(signed)
     shared = saved(banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key"), "shared-bands")
     groups = saved(banded.join(shared, "key").select("key", "doc", "n"), "groups")
-    wanted = saved(groups.select("doc").distinct(), "candidates")
-    sets = saved(source.join(wanted, "doc", "left_semi").mapInArrow(_shingled, "doc long, items binary, counts binary").dropDuplicates(["doc"]), "shingles")
+    discard(banded, shared)
+    wanted = saved(groups.select(F.col("doc").alias("t")).distinct().join(texts, "t").select(F.col("rep").alias("doc"), "name", "t"), "candidates")
+    # rows that repeat an id and its text give equal sets
+    sets = source.join(wanted, ["doc", "name"]).select("t", "text").mapInArrow(_shingled, "doc long, items binary, counts binary")
+    sets = saved(sets.dropDuplicates(["doc"]), "shingles")
     links = _links(groups, sets)
-    # a copy is linked with its text's first document; rows that repeat an id unite their texts' classes
-    several = members.where("doc <> rep").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
+    # a document with several texts unites their classes
+    own = saved(members.groupBy("doc").agg(F.min("t").alias("t"), (F.max("t") > F.min("t")).alias("several")), "documents")
+    several = members.withColumnRenamed("t", "b").join(own.where("several"), "doc").where("b <> t").select(F.col("t").alias("a"), "b")
     comps = components(several.union(links))
+    discard(groups, sets, wanted)
+    classes = own.select("doc", "t").join(comps.withColumnRenamed("node", "t"), "t", "left").select("doc", F.coalesce("comp", "t").alias("t"))
+    classes = saved(classes.join(texts.select("t", F.col("rep").alias("class_id")), "t").select("doc", "class_id"), "classes")
+    discard(members, own, texts, comps)
     return (
-        source.select("doc").join(comps.select(F.col("node").alias("doc"), "comp"), "doc", "left")
-        .select(F.col("doc").alias("doc_id"), F.coalesce("comp", "doc").alias("class_id"))
+        source.select("doc").join(classes, "doc", "left")
+        .select(F.col("doc").alias("doc_id"), F.coalesce("class_id", "doc").alias("class_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
     )
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of docs, with their columns, that are the first of their class; rows that repeat an id stay together."""
-    others = near_classes(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of docs, with their columns, that are the first of their class; rows that repeat an id stay together, those without one stay."""
+    others = saved(near_classes(docs).where("not kept").select("doc_id").distinct(), "others")
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id")
+    return row.join(others, "doc_id", "left_anti").select("_row.*")
