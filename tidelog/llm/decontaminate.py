@@ -6,12 +6,14 @@ in the positions). The postings are written as Parquet to the shared folder,
 one row a block, and any number of test sets can be looked up in them. Only the
 terms that some test item uses are stored when terms are given.
 
-A lookup sends the test windows to every block (a stated query set in chunks of
-bounded size, see CHUNK_WINDOWS) and intersects offset-adjusted posting lists,
-beginning with the window's rarest term in that block: a window whose terms
-don't all occur in the block costs nothing. What survives all terms is an exact
-phrase match; with slop >= 0, windows all of whose terms lie within slop words
-of the window's extent around its rarest term are proximity matches.
+A lookup sends the test windows to the blocks in chunks of at most CHUNK_WINDOWS,
+so that the driver and a worker hold one chunk whatever the test set's size, and
+intersects offset-adjusted posting lists, beginning with the window's rarest term
+in that block: a window whose terms don't all occur in the block costs nothing.
+What survives all terms is an exact phrase match; with slop >= 0, windows all of
+whose terms lie within slop words of the window's extent around its rarest term
+are proximity matches. Several chunks are united by the document's row (its block
+and place there), whatever its id.
 
 Words are runs of [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F] after lower-casing A-Z. A
 window is width consecutive words of an item; an item of fewer words, but not
@@ -19,8 +21,11 @@ none, is one window.
 
 Defined cases: null and empty texts have no words; items without words never
 match; a null item_id or doc_id stays null (a null item counts but isn't
-listed); repeated items are one item if their ids agree; repeated documents are
-separate rows; an empty table of documents gives no rows, one of items no hits.
+listed); repeated items are one item if their ids agree; documents that repeat an
+id or have none are separate rows, in keep_clean too, which goes by the text; of
+equally rare terms the first leads; texts may be of any length; an empty table of
+documents gives no rows, one of items no hits; keep_clean passes columns of any
+names through.
 """
 
 from __future__ import annotations
@@ -34,16 +39,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LETTERS, fresh_path
+from .common import LETTERS, fresh_path, saved
 
 WIDTH = 10
-#: Windows of one lookup pass; larger test sets are looked up chunk by chunk.
-CHUNK_WINDOWS = 200_000
+#: Windows of one lookup pass; larger test sets are looked up chunk by chunk. Distinct test terms beyond which all are indexed.
+CHUNK_WINDOWS, TERMS = 200_000, 1_000_000
 #: Bytes of text in a block.
 BLOCK = 4 << 20
 GAP = 1
+#: What keep_clean knows a text by.
+DIGEST = "unhex(md5(cast(text as binary)))"
 
-INDEX = "block string, doc_ids binary, null_ids binary, starts binary, n_words binary, terms array<binary>, ends binary, positions binary"
+INDEX = "block string, doc_ids binary, null_ids binary, digests array<binary>, starts binary, n_words binary, terms array<binary>, ends binary, positions binary"
 
 
 def words(text: bytes | None) -> list[bytes]:
@@ -51,7 +58,7 @@ def words(text: bytes | None) -> list[bytes]:
 
 
 def _index_rows(batches: Iterator[pa.RecordBatch], terms: frozenset | None) -> Iterator[pa.RecordBatch]:
-    ids, texts, size = [], [], 0
+    ids, digests, texts, size = [], [], [], 0
 
     def row():
         known: dict[bytes, int] = {}
@@ -81,6 +88,7 @@ def _index_rows(batches: Iterator[pa.RecordBatch], terms: frozenset | None) -> I
                 pa.array([uuid.uuid4().hex]),  # the index is written once, so a block keeps its name
                 pa.array([np.array([i or 0 for i in ids], np.int64).tobytes()], pa.binary()),
                 pa.array([np.array([i is None for i in ids], np.bool_).tobytes()], pa.binary()),
+                pa.array([digests], pa.list_(pa.binary())),
                 pa.array([np.array(starts, np.int32).tobytes()], pa.binary()),
                 pa.array([np.array(counts, np.int32).tobytes()], pa.binary()),
                 pa.array([[names[i] for i in used]], pa.list_(pa.binary())),
@@ -91,14 +99,15 @@ def _index_rows(batches: Iterator[pa.RecordBatch], terms: frozenset | None) -> I
         )
 
     for b in batches:
-        for i, t in zip(b.column(0), b.column(1)):
+        for i, x, t in zip(b.column(0), b.column(1), b.column(2)):
             text = t.as_py()
             ids.append(i.as_py())
+            digests.append(x.as_py())
             texts.append(text)
             size += len(text or b"")
             if size >= BLOCK:
                 yield row()
-                ids, texts, size = [], [], 0
+                ids, digests, texts, size = [], [], [], 0
     if ids:
         yield row()
 
@@ -106,29 +115,28 @@ def _index_rows(batches: Iterator[pa.RecordBatch], terms: frozenset | None) -> I
 def build_index(docs: DataFrame, terms: frozenset | None = None, path: str | None = None) -> DataFrame:
     """The stored index of docs (doc_id, text), read back from its files."""
     spark, path = docs.sparkSession, path or fresh_path(docs.sparkSession, "postings")
-    docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as binary) text").mapInArrow(
+    docs.selectExpr("cast(doc_id as long) doc_id", f"{DIGEST} digest", "cast(text as binary) text").mapInArrow(
         lambda batches: _index_rows(batches, terms), INDEX
     ).write.parquet(path)
     return spark.read.schema(INDEX).parquet(path)
 
 
 class Windows:
-    """Test windows as rows of term numbers, -1 where a window is shorter than width."""
+    """Test windows as rows of term numbers, -1 where a window is shorter than width, and the item ids (as text) of each."""
 
-    def __init__(self, items: list[tuple[int, list[bytes]]], width: int = WIDTH):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], width: int = WIDTH):
         self.terms = sorted({w for _, ws in items for w in ws})
         code = {t: i for i, t in enumerate(self.terms)}
-        rows: dict[tuple, list[int]] = {}
-        for n, (_, ws) in enumerate(items):
+        rows: dict[tuple, set] = {}
+        for item, ws in items:
             c = [code[w] for w in ws]
             for k in range(max(1, len(c) - width + 1) if c else 0):
-                rows.setdefault(tuple(c[k : k + width]), []).append(n)
+                rows.setdefault(tuple(c[k : k + width]), set()).add(item)
         self.codes = np.full((len(rows), width), -1, np.int32)
         for k, r in enumerate(rows):
             self.codes[k, : len(r)] = r
         self.length = (self.codes >= 0).sum(1).astype(np.int64)
-        self.items = [sorted(set(v)) for v in rows.values()]
-        self.ids = [i for i, _ in items]
+        self.items = list(rows.values())
 
 
 class Block:
@@ -201,11 +209,13 @@ class Block:
         return alive[which], place
 
 
-#: block and row number a document's row, whatever its id.
-FOUND = "block string, row int, doc_id long, n_words long, n_hit long, items array<int>, near array<int>, hits binary"
+#: block and row number a document's row, whatever its id. items and near: ids as text, null for items without one.
+FOUND = "block string, row int, doc_id long, digest binary, n_words long, n_hit long, items array<string>, near array<string>, hits binary"
 
 
-def _lookup(batches: Iterator[pa.RecordBatch], w: Windows, slop: int) -> Iterator[pa.RecordBatch]:
+def _lookup(batches: Iterator[pa.RecordBatch], w: Windows, slop: int, all_rows: bool) -> Iterator[pa.RecordBatch]:
+    """FOUND rows of an index's rows: every document's, or only those with a match."""
+    ids = lambda x: sorted(x, key=lambda i: (i is None, i or ""))
     for batch in batches:
         for row in batch.to_pylist():
             b = Block(row, w.terms)
@@ -218,83 +228,103 @@ def _lookup(batches: Iterator[pa.RecordBatch], w: Windows, slop: int) -> Iterato
             n_hit = sums[b.starts + b.n_words] - sums[b.starts] if len(b.starts) else []
 
             def per_doc(which, place):
-                found: list[set] = [set() for _ in b.starts]
+                found: dict[int, set] = {}
                 for d, k in {*zip((np.searchsorted(b.starts, place, "right") - 1).tolist(), which.tolist())}:
-                    found[d].update(w.items[k])
+                    found.setdefault(d, set()).update(w.items[k])
                 return found
 
             items = per_doc(which, start)
-            close = per_doc(*b.near(w, slop)) if slop >= 0 else [set()] * len(items)
-            spans = [
-                np.packbits(hit[s : s + n]).tobytes() if h else None for s, n, h in zip(b.starts.tolist(), b.n_words.tolist(), n_hit)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([row["block"]] * len(b.starts), pa.string()),
-                    pa.array(np.arange(len(b.starts)), pa.int32()),
-                    pa.array([None if n else i for i, n in zip(b.doc_ids.tolist(), b.nulls.tolist())], pa.int64()),
-                    pa.array(b.n_words, pa.int64()),
-                    pa.array(np.asarray(n_hit, np.int64)),
-                    pa.array([sorted(x) for x in items], pa.list_(pa.int32())),
-                    pa.array([sorted(x) for x in close], pa.list_(pa.int32())),
-                    pa.array(spans, pa.binary()),
-                ],
-                names=[f.split()[0] for f in FOUND.split(", ")],
+            close = per_doc(*b.near(w, slop)) if slop >= 0 else {}
+            rows = range(len(b.starts)) if all_rows else sorted({*items, *close})
+            cols = zip(
+                *(
+                    (
+                        row["block"],
+                        r,
+                        None if b.nulls[r] else int(b.doc_ids[r]),
+                        row["digests"][r],
+                        int(b.n_words[r]),
+                        int(n_hit[r]),
+                        ids(items.get(r, ())),
+                        ids(close.get(r, ())),
+                        np.packbits(hit[b.starts[r] : b.starts[r] + b.n_words[r]]).tobytes() if n_hit[r] else None,
+                    )
+                    for r in rows
+                )
             )
-
-
-def item_words(items: DataFrame) -> list[tuple[int, list[bytes]]]:
-    """The test set, (item_id, words). It is the stated query set: small beside the corpus, read by the driver."""
-    rows = items.selectExpr("cast(item_id as long) item_id", "cast(text as binary) text").distinct().toLocalIterator()
-    return sorted(((r[0], words(bytes(r[1]) if r[1] is not None else None)) for r in rows), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
-
-
-def chunks(items: list, width: int) -> list[list]:
-    out, size = [[]], 0
-    for i in items:
-        if size >= CHUNK_WINDOWS:
-            out.append([])
-            size = 0
-        out[-1].append(i)
-        size += max(1, len(i[1]) - width + 1)
-    return out
-
-
-def _shifted(column: str, by: int):
-    return F.transform(column, lambda i: i + F.lit(by))
-
-
-def matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop: int = -1) -> tuple[DataFrame, list]:
-    """FOUND rows, one for each row of docs and chunk of items, with items numbered as in the returned list."""
-    tests = item_words(items)
-    terms = frozenset(w for _, ws in tests for w in ws)
-    index = build_index(docs, terms)
-    out, base = None, 0
-    for c in chunks(tests, width):
-        w = index.sparkSession.sparkContext.broadcast(Windows(c, width))
-        found = index.mapInArrow(lambda batches, w=w: _lookup(batches, w.value, slop), FOUND)
-        found = found.withColumns({k: _shifted(k, base) for k in ("items", "near")})
-        out = found if out is None else out.unionByName(found)
-        base += len(c)
-    return out, tests
+            kinds = (pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.binary())
+            arrays = [pa.array(c, k) for c, k in zip(list(cols) or [[]] * len(kinds), kinds)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in FOUND.split(", ")])
+
+
+def _item_words(items: DataFrame) -> Iterator[tuple[str | None, list[bytes]]]:
+    """(item id as text, words) of the distinct items, which pass the driver one partition at a time."""
+    for i, t in items.selectExpr("cast(cast(item_id as long) as string) item_id", "cast(text as binary) text").distinct().toLocalIterator():
+        yield i, words(bytes(t) if t is not None else None)
+
+
+def chunks(items: DataFrame, width: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
+    """The test set in lists of at most CHUNK_WINDOWS windows (and one item's); a longer item is cut into pieces that share width - 1 words."""
+    out, size = [], 0
+    for i, w in _item_words(items):
+        for at in range(0, max(1, len(w) - width + 1), CHUNK_WINDOWS):
+            piece = w[at : at + CHUNK_WINDOWS + width - 1]
+            n = max(1, len(piece) - width + 1)
+            if out and size + n > CHUNK_WINDOWS:
+                yield out
+                out, size = [], 0
+            out.append((i, piece))
+            size += n
+    if out:
+        yield out
+
+
+def _terms(items: DataFrame) -> frozenset | None:
+    """The test set's terms, or None (all are indexed then) if there are over TERMS."""
+    found: set[bytes] = set()
+    for _, w in _item_words(items):
+        found.update(w)
+        if len(found) > TERMS:
+            return None
+    return frozenset(found)
+
+
+def matches(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop: int = -1, all_rows: bool = True) -> DataFrame:
+    """FOUND rows with all_hits (the hit words' bits of each chunk) instead of hits and n_hit: of every row of docs, or of those with a match."""
+    index = build_index(docs, _terms(items))
+    context, first, found = index.sparkSession.sparkContext, None, []
+
+    def looked_up(chunk, every: bool) -> DataFrame:
+        w = context.broadcast(Windows(chunk, width))
+        return index.mapInArrow(lambda batches: _lookup(batches, w.value, slop, every), FOUND)
+
+    for c in chunks(items, width):
+        if first is not None:
+            # more than one chunk: each is looked up before the next one is read
+            if not found:
+                found.append(saved(looked_up(first, False), "matches"))
+            found.append(saved(looked_up(c, False), "matches"))
+        first = first or c
+    if not found:
+        return looked_up(first or [], all_rows).withColumn("all_hits", F.array("hits")).drop("hits", "n_hit")
+    several = found[0]
+    for f in found[1:]:
+        several = several.union(f)
+    # a document's matches are in one row a chunk
+    united = several.groupBy("block", "row", "doc_id", "digest", "n_words").agg(
+        F.flatten(F.collect_list("items")).alias("items"), F.flatten(F.collect_list("near")).alias("near"), F.collect_list("hits").alias("all_hits")
+    )
+    if not all_rows:
+        return united
+    rows = looked_up([], True).select("block", "row", "doc_id", "digest", "n_words")
+    nothing = F.array().cast("array<string>")
+    lists = {"items": F.coalesce("items", nothing), "near": F.coalesce("near", nothing), "all_hits": F.coalesce("all_hits", F.array().cast("array<binary>"))}
+    return rows.join(united.drop("doc_id", "digest", "n_words"), ["block", "row"], "left").withColumns(lists)
 
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop: int = 5) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and n_near of each row of docs.
-
-    n_near counts items with a proximity match. With more than one chunk of test windows, the hit words of the chunks are
-    united by the document's row in the index.
-    """
-    found, tests = matches(docs, items, width, slop)
-    ids = [str(i) if i is not None else None for i, _ in tests]
-    several = len(chunks(tests, width)) > 1
-    if several:
-        found = found.groupBy("block", "row").agg(
-            F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
-            F.collect_list("hits").alias("all_hits"), F.flatten(F.collect_list("items")).alias("items"), F.flatten(F.collect_list("near")).alias("near")
-        )
-    else:
-        found = found.withColumn("all_hits", F.array("hits"))
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and n_near (items with a proximity match) of each row of docs."""
+    found = matches(docs, items, width, slop)
 
     def run(batches):
         for b in batches:
@@ -305,10 +335,9 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop: i
                     if h is not None:
                         bits = np.unpackbits(np.frombuffer(h, np.uint8))
                         union = bits if union is None else union | bits
-                n_hit = int(union.sum()) if union is not None else 0
-                hit_ids = {ids[i] for i in r["items"]}
-                listed = ",".join(sorted(i for i in hit_ids if i is not None))
-                out.append((r["doc_id"], r["n_words"], n_hit, len(hit_ids), hashlib.sha256(listed.encode()).hexdigest(), n_hit > 0, len({ids[i] for i in r["near"]})))
+                n_hit, hit = int(union.sum()) if union is not None else 0, set(r["items"])
+                listed = ",".join(sorted(i for i in hit if i is not None))
+                out.append((r["doc_id"], r["n_words"], n_hit, len(hit), hashlib.sha256(listed.encode()).hexdigest(), n_hit > 0, len(set(r["near"]))))
             cols = list(zip(*out)) if out else [[]] * 7
             types = [pa.int64()] * 4 + [pa.string(), pa.bool_(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
@@ -321,6 +350,6 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, slop: i
 
 def keep_clean(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
     """The rows of docs, with their columns, in which no window of any item occurs."""
-    found, _ = matches(docs, items, width)
-    bad = found.where("n_hit > 0 and doc_id is not null").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    bad = saved(matches(docs, items, width, all_rows=False).select(F.col("digest").alias("_digest")).distinct(), "contaminated")
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.expr(DIGEST).alias("_digest"))
+    return row.join(bad, "_digest", "left_anti").select("_row.*")
