@@ -12,9 +12,12 @@ Of the certified cutoffs that reject most bad documents the loosest is used;
 without a certified cutoff the rule rejects nothing in that stratum.
 
 Defined cases: null or empty text has no words and fails the base rules; a null
-language is a stratum of its own; of repeated labels of one document the best
-counts; null labels and labels of absent documents are ignored; repeated
-documents are separate rows; without labels only the base rules act.
+language is a stratum of its own, and a table without a column lang is one
+stratum; of repeated labels of one document the best counts; null labels and
+labels of absent documents are ignored; a null doc_id has no label; repeated
+documents are separate rows; texts may be of any length; without labels only the
+base rules act; an empty table gives no rows; columns of any other names pass
+through keep_good as they are.
 """
 
 from __future__ import annotations
@@ -210,7 +213,9 @@ def quality(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """The rows of docs, with their columns, that the rules keep."""
-    cuts = cutoffs(with_features(docs.select("doc_id", "text", "lang"), ["doc_id"]), labels, risk, delta)
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "text", "lang")
-    return verdicts(with_features(row, ["_row"]), cuts).where("kept").select("_row.*")
+    """The rows of docs, with their columns, that the rules keep. Rows are saved once with their counts, so that texts are read once."""
+    lang = ["lang"] if "lang" in docs.columns else []
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "text", *lang)
+    f = saved(with_features(row, ["_row", "doc_id"]), "quality-rows")
+    cuts = saved(cutoffs(f.drop("_row"), labels, risk, delta), "cutoffs")
+    return verdicts(f, cuts).where("kept").select("_row.*")
