@@ -8,6 +8,7 @@ import struct
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidelog.llm import decontaminate, lines, packing, quality, spans, tokens
 
@@ -70,7 +71,12 @@ def test_quality(spark, docs, nulls, empty):
     assert quality.quality(empty, labels).count() == 0
     assert quality.quality(nulls, labels.limit(0)).count() == 3
     kept = quality.keep_good(docs, labels)
-    assert kept.columns == docs.columns and kept.count() == sum(v for k, v in want.items() if k[-1])
+    assert kept.columns == docs.columns and bag(kept, "doc_id") == {k[:1]: v for k, v in want.items() if k[-1]}
+    no_lang = quality.keep_good(docs.drop("lang"), labels)
+    assert no_lang.columns == docs.drop("lang").columns and no_lang.count() == kept.count()
+    assert quality.keep_good(empty, labels).count() == 0 and quality.keep_good(nulls, labels).count() == 0
+    long = nulls.withColumn("text", F.lit(max((r.text or "" for r in docs.collect()), key=lambda t: len(set(t.split())))))
+    assert quality.keep_good(long, labels).count() == 3  # rows without ids are judged as all others
 
 
 def test_cutoffs_bound_false_rejections(spark):
@@ -130,8 +136,10 @@ def test_packing(spark, docs, nulls, empty):
     assert set(bag(packing.pack(nulls, path), "doc_id", "doc_tokens")) == {(None, 7), (None, 1), (1, 7)}
 
 
-def test_word_ids_are_the_tokenizers(docs):
-    t = packing.WordIds(P.path("word_bpe_49k.json"))
+@pytest.mark.parametrize("file", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_word_ids_are_the_tokenizers(docs, file):
+    t = packing.WordIds(P.path(file))
+    assert t.by_word == (file[0] == "w")
     odd = ["Straße, ÉCOLE! don't I'M it's naïve; ª º µ İ ſ Ω ﬁ é <|endoftext|> a<|startoftext|>b x y 12ab3 ... ¡hola! \x00 � ''' ' s's"]
     for text in odd + [r.text or "" for r in docs.collect()]:
         want = t.tokenizer.encode(text, add_special_tokens=False).ids
@@ -156,6 +164,7 @@ def test_lines(spark, docs, nulls, empty):
     assert got == want and lines.line_dedup(docs).count() == docs.count()
     kept = lines.dedup_lines(docs)
     assert kept.columns == docs.columns and kept.count() == docs.count()
+    assert lines.dedup_lines(empty).count() == 0 and lines.dedup_lines(nulls).count() == 3
     assert lines.line_dedup(empty).count() == 0 and lines.line_dedup(nulls).count() == 3
 
 
@@ -219,7 +228,8 @@ def test_decontamination(spark, docs, nulls, empty, monkeypatch, chunk):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     texts = {r.doc_id: r.text for r in docs.collect()}
     long = [t for t in texts.values() if t and 60 < len(t.split()) < 200]
-    items = [(1, " ".join(long[0].split()[3:16])), (2, " ".join(long[1].split()[:4])), (3, ""), (4, None), (10, long[2].upper()), (11, "nowhere to be found at all in these texts of ours"), (None, long[3]), (1, " ".join(long[0].split()[3:16]))]
+    some = lambda t: t if chunk > 3 else " ".join(t.split()[:16])
+    items = [(1, " ".join(long[0].split()[3:16])), (2, " ".join(long[1].split()[:4])), (3, ""), (4, None), (10, some(long[2].upper())), (11, "nowhere to be found at all in these texts of ours"), (None, some(long[3])), (1, " ".join(long[0].split()[3:16]))]
     bench = spark.createDataFrame(items, "item_id long, text string")
     windows = collections.defaultdict(set)
     for i, t in items:
@@ -237,12 +247,21 @@ def test_decontamination(spark, docs, nulls, empty, monkeypatch, chunk):
                     found |= windows[x]
         listed = ",".join(sorted(str(i) for i in found if i is not None))
         want[d] = (len(w), len(hit), len(found), hashlib.sha256(listed.encode()).hexdigest(), bool(hit))
-    source = docs if chunk > 3 else docs.dropDuplicates(["doc_id"])
-    out = decontaminate.contamination(source, bench)
-    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in out.collect()}
-    assert got == want and all(r.n_near >= r.n_items for r in out.collect())
+    copies = collections.Counter(r.doc_id for r in docs.collect())
+    out = decontaminate.contamination(docs, bench)
+    got = bag(out, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    assert got == {(d, *v): copies[d] for d, v in want.items()} and all(r.n_near >= r.n_items for r in out.collect())
     kept = decontaminate.keep_clean(docs, bench)
-    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {d for d, v in want.items() if not v[4]}
+    assert kept.columns == docs.columns and bag(kept, "doc_id") == {(d,): copies[d] for d, v in want.items() if not v[4]}
+    odd = spark.createDataFrame([(None, texts[d]) for d in texts] + [(5, texts[d]) for d in texts], "doc_id long, text string")
+    clean = collections.Counter(t for d, t in texts.items() if not want[d][4])
+    left = decontaminate.keep_clean(odd, bench).collect()
+    for one in (None, 5):
+        assert collections.Counter(r.text for r in left if r.doc_id == one) == clean
+    if chunk == 3:
+        return
+    assert decontaminate.keep_clean(empty, bench).count() == 0 and decontaminate.keep_clean(nulls, bench).count() == 3
+    assert decontaminate.keep_clean(docs, bench.limit(0)).count() == docs.count()
     assert decontaminate.contamination(empty, bench).count() == 0
     assert decontaminate.contamination(nulls, bench.limit(0)).where("contaminated").count() == 0
 

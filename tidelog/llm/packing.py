@@ -13,17 +13,20 @@ When a worker ends, the pieces of unfinished bins, fewer than capacity tokens a
 class, are laid end to end, cut at the capacity, and the last cut is split into
 powers of two, which need no padding.
 
-Tokens come from the tokenizer file word by word: its splitting never joins
-characters across the white space [\\x20\\x09-\\x0D], so a word's ids don't depend
-on its neighbours and a bounded table keeps those of frequent words.
+Tokens come from the tokenizer file word by word where by_word() finds that its
+splitting never joins characters across the white space [\\x20\\x09-\\x0D]: a
+word's ids then don't depend on its neighbours and a bounded table keeps those of
+frequent words. With any other file whole texts go through the tokenizer.
 
 Defined cases: null text is empty and yields the end id alone; a document of any
-length is cut freely; repeated rows are packed as rows of their own; an empty
-table yields no pieces. A retried task repeats its partition's packing.
+length is cut freely; a null doc_id stays null; repeated rows are packed as rows
+of their own; an empty table yields no pieces; columns other than doc_id and text
+aren't looked at. A retried task repeats its partition's packing.
 """
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -36,8 +39,8 @@ CAPACITY = 2048
 MIN_FILL = 0.98
 #: Classes beyond this one share its bins' handling: their tiny pieces are laid end to end with the unfinished bins.
 LAST_CLASS = 64
-#: Words that a worker remembers before it starts anew.
-REMEMBERED = 1 << 20
+#: Words of at most LONGEST bytes that a worker remembers before it starts anew.
+REMEMBERED, LONGEST = 1 << 20, 64
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -53,6 +56,26 @@ def _byte_letters() -> dict[int, str]:
     return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x180)}
 
 
+#: Fixed value: a splitting that drops white space and never joins what it parts.
+_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+
+
+def by_word(file: dict) -> bool:
+    """Whether a tokenizer file's ids of a text are its words' ids one after the other: lower case, this splitting, byte letters, word ends."""
+    steps = (file["normalizer"] or {}).get("normalizers", [])
+    splits = (file["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return (
+        [x["type"] for x in steps] == ["NFC", "Replace", "Lowercase"]
+        and [x["type"] for x in splits] == ["Split", "ByteLevel"]
+        and (splits[0]["pattern"], splits[0]["behavior"], splits[0]["invert"]) == ({"Regex": _PATTERN}, "Removed", True)
+        and not splits[1]["add_prefix_space"]
+        and not splits[1]["use_regex"]
+        and file["post_processor"] is None
+        and bool(file["model"]["end_of_word_suffix"])
+        and not any(set(t["content"]) & set(" \t\n\x0b\x0c\r") or t["lstrip"] or t["rstrip"] for t in file["added_tokens"])
+    )
+
+
 class WordIds(dict):
     """word -> its ids as little-endian unsigned 32-bit bytes.
 
@@ -66,6 +89,9 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
         self.letters, self.cores, self.tails = _byte_letters(), {}, {"": b""}
+        # words stand alone, and go to the merges without the whole tokenizer, only where the file is known to allow it
+        with open(path, encoding="utf-8") as f:
+            self.by_word = by_word(json.load(f))
 
     def _whole(self, text: str) -> bytes:
         return b"".join([i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
@@ -79,16 +105,24 @@ class WordIds(dict):
             ids = self.cores.get(core)
             if ids is None:
                 made = self.merge(core if core.isascii() else core.translate(self.letters))
-                ids = self.cores[core] = b"".join([t.id.to_bytes(4, "little") for t in made])
-            if tail not in self.tails:
-                self.tails[tail] = self._whole(tail)
-            ids += self.tails[tail]
+                ids = b"".join([t.id.to_bytes(4, "little") for t in made])
+                if len(word) <= LONGEST:
+                    self.cores[core] = ids
+            end = self.tails.get(tail)
+            if end is None:
+                end = self._whole(tail)
+                if len(tail) <= LONGEST:
+                    self.tails[tail] = end
+            ids += end
         else:
             ids = self._whole(text)
-        self[word] = ids
+        if len(word) <= LONGEST:
+            self[word] = ids
         return ids
 
     def ids(self, text: bytes) -> bytes:
+        if not self.by_word:
+            return self._whole(text.decode("utf-8", "replace"))
         out = b"".join(map(self.__getitem__, text.split()))
         for table in (self, self.cores, self.tails):
             if len(table) > REMEMBERED:

@@ -10,8 +10,10 @@ can't cover counts as one unknown token.
 Words are runs of [^\\x20\\x09-\\x0D]. Distinct words of a worker are counted once
 and kept in a bounded table (the counts repeat, the table only saves work).
 
-Defined cases: null and empty texts have no words and no tokens; repeated rows
-are separate; a text may be of any length, since only its words are looked up.
+Defined cases: null and empty texts have no words and no tokens; a null doc_id
+stays null; repeated rows are separate, and of equally long pieces there is one;
+a text may be of any length, since only its words are looked up; an empty table
+gives no rows; columns other than doc_id and text aren't looked at.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 MARK = "▁"
-#: Words that a worker remembers before it starts anew.
-REMEMBERED = 1 << 19
+#: Words of at most LONGEST bytes that a worker remembers before it starts anew.
+REMEMBERED, LONGEST = 1 << 19, 64
 
 
 class Automaton:
@@ -97,7 +99,9 @@ class _Counts(dict):
     def __missing__(self, word: bytes) -> int:
         """Pieces, with bit 40 set for an unknown word, so that a sum holds both."""
         n, unknown = self.automaton.count(MARK + word.decode("utf-8", "replace"))
-        self[word] = n = n + (unknown << 40)
+        n += unknown << 40
+        if len(word) <= LONGEST:
+            self[word] = n
         return n
 
 
