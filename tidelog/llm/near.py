@@ -160,13 +160,13 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text number, items and counts of text number, text."""
+    """doc, name, items and counts of doc, name, text."""
     known = _Words()
     for b in batches:
-        sets = [shingles(t.as_py() or b"", known) for t in b.column(1)]
+        sets = [shingles(t.as_py() or b"", known) for t in b.column(2)]
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array([s.tobytes() for s, _ in sets], pa.binary()), pa.array([c.astype(np.uint32).tobytes() for _, c in sets], pa.binary())],
-            names=["doc", "items", "counts"],
+            [b.column(0), b.column(1), pa.array([s.tobytes() for s, _ in sets], pa.binary()), pa.array([c.astype(np.uint32).tobytes() for _, c in sets], pa.binary())],
+            names=["doc", "name", "items", "counts"],
         )
 
 
@@ -328,9 +328,11 @@ def near_classes(docs: DataFrame) -> DataFrame:
     groups = saved(banded.join(shared, "key").select("key", "doc", "n"), "groups")
     discard(banded, shared)
     wanted = saved(groups.select(F.col("doc").alias("t")).distinct().join(texts, "t").select(F.col("rep").alias("doc"), "name", "t"), "candidates")
+    # by id alone, which is narrow enough to spare the texts a shuffle as long as Spark may broadcast it; the sets find their texts then
+    sets = source.join(wanted.select("doc").distinct(), "doc", "left_semi").select("doc", "name", "text")
+    sets = sets.mapInArrow(_shingled, "doc long, name binary, items binary, counts binary").join(wanted, ["doc", "name"])
     # rows that repeat an id and its text give equal sets
-    sets = source.join(wanted, ["doc", "name"]).select("t", "text").mapInArrow(_shingled, "doc long, items binary, counts binary")
-    sets = saved(sets.dropDuplicates(["doc"]), "shingles")
+    sets = saved(sets.dropDuplicates(["doc", "name"]).select(F.col("t").alias("doc"), "items", "counts"), "shingles")
     links = _links(groups, sets)
     # a document with several texts unites their classes
     own = saved(members.groupBy("doc").agg(F.min("t").alias("t"), (F.max("t") > F.min("t")).alias("several")), "documents")
