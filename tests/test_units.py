@@ -140,6 +140,60 @@ def test_binary_messages(spark):
     assert sorted((r.seq, r.op) for r in binary_messages.decode(raw, tables=("public.b",)).select("seq", "op").collect()) == [(0, "DDL")]
 
 
+def _relation(n, table, columns):
+    cols = b"".join(b"\0" + c.encode() + b"\0" + struct.pack(">Ii", o, -1) for c, o in columns)
+    return b"R" + struct.pack(">I", n) + b"public\0" + table.encode() + b"\0d" + struct.pack(">H", len(columns)) + cols
+
+
+def _begin(lsn, xid):
+    return b"B" + struct.pack(">QqI", lsn, 0, xid)
+
+
+def _commit(lsn, end):
+    return b"C\0" + struct.pack(">QQq", lsn, end, 1000000)
+
+
+def _raw(spark, log):
+    """log: (transaction, message) in the order of the stream."""
+    rows = [("pgoutput", t, i, 0, bytearray(d)) for i, (t, d) in enumerate(log)]
+    return spark.createDataFrame(rows, "plugin string, txid long, ordinal long, step int, data binary")
+
+
+def test_relations_hold_over_transactions(spark, tmp_path):
+    """A relation that is sent once serves all later transactions, a changed one those after it, and both later micro-batches."""
+    a, b = (("id", 23), ("x", 1700)), (("x", 1700), ("id", 23))
+    first = [(1, _begin(16, 7)), (1, _relation(5, "t", a)), (1, _row(b"N", 5, ["1", "0.123456789012"], b"I")), (1, _commit(16, 0))]
+    first += [(2, _begin(32, 8)), (2, _row(b"N", 5, ["2", "1e400"], b"I")), (2, _row(b"N", 6, ["2", "2"], b"I")), (2, _commit(32, 40))]
+    second = [(3, _begin(48, 9)), (3, _row(b"N", 5, ["3", "99999999999999999999.5"], b"I")), (3, _relation(5, "t", b)), (3, _row(b"N", 5, ["4", "30"], b"I")), (3, _commit(48, 56)), (4, _begin(64, 10)), (4, _row(b"N", 5, ["5", "40"], b"I"))]
+
+    def got(df, **kw):
+        e = binary_messages.decode(df, **kw).withColumn("image", F.to_json("new_values"))
+        return sorted((r.txid, r.seq, r.position, json.dumps(json.loads(r.image, parse_float=str), sort_keys=True)) for r in e.select("txid", "seq", "position", "image").collect())
+
+    want = [(7, 0, 16, '{"id": 1, "x": "0.123456789012"}'), (8, 0, 40, '{"id": 2, "x": "1e400"}')]
+    later = [(9, 0, 56, '{"id": 3, "x": "99999999999999999999.5"}'), (9, 1, 56, '{"id": 30, "x": 4}')]
+    assert got(_raw(spark, first + second)) == want + later
+    store = binary_messages.RelationStore(f"file://{tmp_path}/relations")
+    for batch, (log, rows) in enumerate([(first, want), (second, later)]):
+        for _ in range(2):  # a repeated batch finds what it found before
+            known = store.known(spark, batch)
+            assert got(_raw(spark, log), known=known) == rows
+            history = binary_messages.relations(_raw(spark, log), ("ordinal", "step"))
+            store.keep(history if known is None else known.unionByName(history), batch)
+    assert got(_raw(spark, second)) == [(9, 0, 56, '{"id": 30, "x": 4}')]
+
+
+def test_truncations_in_listed_order_and_markers(spark):
+    log = [(1, _begin(16, 7)), (1, _relation(1, "a", (("id", 23),))), (1, _relation(2, "b", (("id", 23),))), (1, b"T" + struct.pack(">IB", 3, 0) + struct.pack(">III", 2, 9, 1)), (1, _commit(16, 24))]
+    log += [(2, _begin(32, 8)), (2, _commit(32, 40)), (3, _begin(48, 9))]
+    e = binary_messages.decode(_raw(spark, log), markers=True).select("ordinal", "begin", "commit", "op", "table", "seq", "lsn", "position", "txid").collect()
+    got = sorted((r.ordinal, r.begin, r.commit, r.op, r.table, r.seq, r.lsn, r.position, r.txid) for r in e)
+    assert [g for g in got if g[3]] == [(3, False, False, "DDL", "b", 0, "0/10", 24, 7), (3, False, False, "DDL", "a", 1, "0/10", 24, 7)][::-1]
+    assert [g for g in got if not g[3]] == [(0, True, False, None, None, None, "0/10", None, 7), (4, False, True, None, None, None, "0/10", 24, 7), (5, True, False, None, None, None, "0/20", None, 8), (6, False, True, None, None, None, "0/20", 40, 8)]
+    with pytest.raises(Exception, match="cut short"):
+        binary_messages.decode(_raw(spark, [(1, b"B\0\0"), (1, _commit(16, 24))]), markers=True).collect()
+
+
 def test_policies(spark):
     e = spark.createDataFrame([("0", None), ("1", "max payload"), ("2", None)], "event_id string, error string")
     for policy in ("dlq", "skip"):

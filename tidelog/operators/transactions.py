@@ -31,11 +31,12 @@ def with_commit(rows: DataFrame, commits: DataFrame, tx: str = "txid") -> DataFr
 def relation_as_of(rows: DataFrame, relations: DataFrame, key: str = "rel", order: str = "ordinal") -> DataFrame:
     """rows with the columns of the last definition of their relation at or before them; rows of unknown relations go.
 
-    relations (key, order, definition columns) is a history of table definitions. The lookup is an equality join on the key
-    with each definition's validity; Spark broadcasts the definitions where their size allows.
+    relations (key, order, definition columns) is a history of table definitions; a null order is before all others. The lookup
+    is an equality join on the key with each definition's validity; Spark broadcasts the definitions where their size allows.
     """
     valid = relations.withColumnRenamed(order, "_from").withColumn("_to", F.lead("_from").over(Window.partitionBy(key).orderBy("_from")))
-    return rows.join(valid, key).where((F.col(order) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(order) < F.col("_to")))).drop("_from", "_to")
+    begun = F.col("_from").isNull() | (F.col(order) >= F.col("_from"))
+    return rows.join(valid, key).where(begun & (F.col("_to").isNull() | (F.col(order) < F.col("_to")))).drop("_from", "_to")
 
 
 def truncations(rows: DataFrame, rels: str = "rels") -> DataFrame:

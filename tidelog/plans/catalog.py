@@ -120,6 +120,26 @@ def cdc_decode_pgoutput(spark, sf_dir):
     return _decoded(binary_messages.decode(as_binary_messages(log_of(spark, sf_dir))))
 
 
+#: Tables that a truncation lists, not in the order of their relations' numbers.
+_TRUNCATED = ["view", "click", "signup", "error", "purchase"]
+
+
+@query(f"""
+, k AS (SELECT tbl, min(ordinal) AS known FROM w GROUP BY tbl),
+t AS (SELECT ordinal, txid, lsn_num, unnest({_TRUNCATED}) AS tbl, unnest(range({len(_TRUNCATED)})) AS place FROM q WHERE op = 'DELETE' AND txid % 3 = 0),
+a AS (SELECT ordinal, txid, lsn_num, op, tbl, -1 AS place FROM q
+      UNION ALL SELECT t.ordinal, txid, lsn_num, 'DDL', t.tbl, place FROM t JOIN k ON t.tbl = k.tbl AND known <= t.ordinal)
+SELECT ordinal, txid, op, tbl, concat('0/', hex(lsn_num)) AS lsn, row_number() OVER (PARTITION BY txid ORDER BY ordinal, place) - 1 AS seq FROM a
+""")
+def cdc_decode_truncate(spark, sf_dir):
+    """Truncations among other changes: an event for each listed relation, in the listed order."""
+    log = log_of(spark, sf_dir)
+    listed = F.array(*[F.lit(t) for t in _TRUNCATED]).alias("tables")
+    truncated = log.where("op = 'DELETE' and txid % 3 = 0").select("txid", "ordinal", listed)
+    e = binary_messages.decode(as_binary_messages(log, truncated))
+    return e.select("ordinal", "txid", "op", F.col("table").alias("tbl"), "lsn", "seq")
+
+
 @query("""
 SELECT ordinal AS event_id, CASE ordinal % 8 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 7 THEN NULL
          WHEN 3 THEN epoch_us(date_trunc('second', ts)) WHEN 4 THEN epoch_us(ts) + 18000000000 WHEN 5 THEN epoch_us(date_trunc('second', ts)) + 18000000000

@@ -1,4 +1,9 @@
-"""Binary change messages: decoded in Arrow batches, typed and joined with their relations on the JVM."""
+"""Binary change messages: rows and relations decoded in Arrow batches, the rest on the JVM.
+
+A stream sends a table's Relation once and again when it changes, in whichever transaction comes first. So the relations of the
+whole log are a history, and each row is joined with the definition that holds at its place: an equality join on the relation's
+number, of which a stream has few definitions. A micro-batch gets the definitions of earlier ones (RelationStore).
+"""
 
 from __future__ import annotations
 
@@ -10,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.lsn import lsn_text
+from tidelog.operators.transactions import relation_as_of
 from tidelog.sources.changes import EPOCH_2000
 
 _CELL = pa.struct([("kind", pa.string()), ("text", pa.string())])
@@ -81,10 +87,16 @@ def parse(data: bytes) -> dict:
     return m | {"tag": tag}
 
 
-def messages(raw: DataFrame, order: list[str], keep: list[str]) -> DataFrame:
-    """keep, order and the decoded FIELDS of raw (plugin, data). Messages of another plugin are dropped."""
+def _own(raw: DataFrame, tags: str) -> DataFrame:
+    """The messages of this plugin with one of the tags; data is binary."""
+    own = raw.where(F.coalesce("plugin", F.lit("")).isin("pgoutput", "")).withColumn("data", F.col("data").cast("binary"))
+    return own.where(F.substring("data", 1, 1).isin(*[F.lit(t.encode()) for t in tags]))
+
+
+def messages(raw: DataFrame, order: list[str], keep: list[str], tags: str = "RIUDT") -> DataFrame:
+    """keep, order and the decoded FIELDS of raw (plugin, data) with these tags. Messages of another plugin are dropped."""
     held = list(dict.fromkeys([*keep, *order]))
-    source = raw.where(F.coalesce("plugin", F.lit("")).isin("pgoutput", "")).select(*held, F.col("data").cast("binary").alias("data"))
+    source = _own(raw, tags).select(*held, "data")
     schema = ", ".join([f"{n} {t}" for n, t in source.dtypes if n != "data"] + [f"{n} {t}" for n, _, t in FIELDS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,6 +108,62 @@ def messages(raw: DataFrame, order: list[str], keep: list[str]) -> DataFrame:
     return source.mapInArrow(run, schema)
 
 
+def _number(at: int, size: int):
+    """The big-endian number (signed if it has 8 bytes) in data from byte at (0-based) on; a message that is cut short raises."""
+    short = F.octet_length("data") < at + size
+    number = F.conv(F.hex(F.substring("data", at + 1, size)), 16, -10).cast("long")
+    return F.when(short, F.raise_error(F.lit("a change message is cut short")).cast("long")).otherwise(number)
+
+
+def transactions(raw: DataFrame, order: list[str], tx: list[str]) -> DataFrame:
+    """tx and, of each transaction that has a Commit, xid (0 without a Begin), commit_lsn, end_lsn, commit_micros, and the places
+    of both ends (begins, ends). Read on the JVM and combined before the shuffle."""
+    tag, place = F.substring("data", 1, 1).cast("string"), F.struct(*order)
+    m = _own(raw, "BC").select(*tx, place.alias("place"), tag.alias("tag"), "data")
+    begin, commit = F.col("tag") == "B", F.col("tag") == "C"
+    ends = F.struct("place", _number(2, 8).alias("commit_lsn"), _number(10, 8).alias("end_lsn"), (_number(18, 8) + EPOCH_2000 * 1000000).alias("commit_micros"))
+    starts = F.struct("place", _number(17, 4).alias("xid"), _number(1, 8).alias("final_lsn"))
+    found = m.groupBy(*tx).agg(F.max(F.when(commit, ends)).alias("c"), F.max(F.when(begin, starts)).alias("b")).where("c is not null")
+    return found.select(
+        *tx, F.coalesce("b.xid", F.lit(0)).alias("tx_xid"), "c.commit_lsn", "c.end_lsn", "c.commit_micros", F.col("b.final_lsn").alias("begin_lsn"), F.col("b.place").alias("begins"), F.col("c.place").alias("ends")
+    )
+
+
+HISTORY = ["rel", "place", "schema", "table", "columns", "oids"]
+
+
+def relations(raw: DataFrame, order: tuple[str, ...] = ("ordinal",)) -> DataFrame:
+    """The history of relation definitions: HISTORY, place being the struct of order. A definition sent again unchanged is left out."""
+    found = messages(raw, list(order), [], "R").select("rel", F.struct(*order).alias("place"), "schema", "table", "columns", "oids")
+    w = Window.partitionBy("rel").orderBy("place")
+    now = F.struct("schema", "table", "columns", "oids")
+    return found.withColumn("_before", F.lag(now).over(w)).where(~now.eqNullSafe(F.col("_before"))).drop("_before")
+
+
+class RelationStore:
+    """The last definition of each relation after each micro-batch, in a folder that all executors share.
+
+    A batch's state is written under its number, so a repeated batch starts from the same definitions and writes the same ones.
+    """
+
+    def __init__(self, path: str):
+        self.path = path.rstrip("/")
+
+    def known(self, spark, batch_id: int) -> DataFrame | None:
+        """The definitions before a batch, or None before the first."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+        before = [int(n[6:]) for n in names if n.startswith("batch=") and int(n[6:]) < batch_id]
+        return spark.read.parquet(f"{self.path}/batch={max(before)}") if before else None
+
+    def keep(self, history: DataFrame, batch_id: int) -> DataFrame:
+        """Stores the last definition of each relation of history as the state after a batch, and returns it."""
+        last = history.groupBy("rel").agg(F.max_by(F.struct(*HISTORY[1:]), "place").alias("d")).select("rel", "d.*")
+        last.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        return last
+
+
 def _image(cells: str):
     """Name -> value as text; unchanged values are absent, nulls are null, the shorter list decides."""
     n = F.least(F.size(cells), F.size("columns"))
@@ -105,51 +173,88 @@ def _image(cells: str):
 
 
 #: Type numbers and the types their texts are read as.
-TYPES = {16: "boolean", 20: "bigint", 21: "bigint", 23: "bigint", 700: "double", 701: "double", 1700: "decimal(38,9)", 1082: "date", 1184: "timestamp"}
+TYPES = {16: "boolean", 20: "bigint", 21: "bigint", 23: "bigint", 700: "double", 701: "double", 1700: "numeric", 1082: "date", 1184: "timestamp"}
 
 
 def typed(text, oid):
-    """A value's text in its type, as a variant; a text that its type can't read, or of another type, stays text."""
+    """A value's text in its type, as a variant; a text that its type can't read, or of another type, stays text.
+
+    A number of at most 38 digits is a decimal of its own scale, so that it is kept exactly; a longer one and NaN stay text.
+    """
     out = text.cast("variant")
     for number, kind in TYPES.items():
-        own = F.when(text.isin("t", "f"), text == "t") if kind == "boolean" else text.try_cast(kind)
-        out = F.when(F.coalesce(oid == number, F.lit(False)) & own.isNotNull(), own.cast("variant")).otherwise(out)
+        if kind == "boolean":
+            own = F.when(text.isin("t", "f"), text == "t").cast("variant")
+        elif kind == "numeric":
+            exact = text.rlike(r"^-?(0|[1-9]\d*)(\.\d+)?$") & (F.length(F.regexp_replace(text, "[-.]", "")) <= 38)
+            own = F.when(exact, F.try_parse_json(text))
+        else:
+            own = text.try_cast(kind).cast("variant")
+        out = F.when(F.coalesce(oid == number, F.lit(False)) & own.isNotNull(), own).otherwise(out)
     return F.when(text.isNotNull(), out)
 
 
-def decode(raw: DataFrame, order: tuple[str, ...] = ("ordinal", "step"), tx: tuple[str, ...] = ("txid",), tables: tuple[str, ...] = ()) -> DataFrame:
+def decode(
+    raw: DataFrame,
+    order: tuple[str, ...] = ("ordinal", "step"),
+    tx: tuple[str, ...] = ("txid",),
+    tables: tuple[str, ...] = (),
+    known: DataFrame | None = None,
+    markers: bool = False,
+) -> DataFrame:
     """Change events of a log in which each value of tx is one transaction's messages, ordered by order.
 
-    A row's relation is the last one of its number before it in its transaction. Rows of unknown relations are dropped, and
-    filtered tables are dropped before the rows are numbered. A truncation makes a row for each of its relations.
+    A row's relation is the last one of its number before it in the log, or in known (HISTORY of what came before the log).
+    Rows of unknown relations and of transactions without a Commit are dropped, and filtered tables are dropped before the rows
+    are numbered. A truncation makes a row for each of its relations, in the listed order. With markers, each transaction
+    has a row with begin and one with commit beside its events.
     """
-    m = messages(raw, list(order), list(tx))
-    m = m.withColumn("rel", F.explode_outer(F.when(F.col("tag") == "T", F.col("rels")).otherwise(F.array("rel"))))
-    of_rel = Window.partitionBy(*tx, "rel").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    known = F.when(F.col("tag") == "R", F.struct("schema", "table", "columns", "oids"))
-    m = m.withColumn("relation", F.last(known, ignorenulls=True).over(of_rel))
-    of_tx = Window.partitionBy(*tx)
-    ends = F.when(F.col("tag") == "C", F.struct("commit_lsn", "end_lsn", "commit_micros"))
-    m = m.withColumns({"done": F.max(ends).over(of_tx), "tx_xid": F.coalesce(F.max(F.when(F.col("tag") == "B", F.col("xid"))).over(of_tx), F.lit(0))})
-    rows = m.where(F.col("tag").isin("I", "U", "D", "T") & F.col("relation").isNotNull() & F.col("done").isNotNull())
-    rows = rows.where("tag = 'D' or tag = 'T' or new_tuple is not null").drop("schema", "table", "columns", "oids").select("*", "relation.*")
+    place = F.struct(*order)
+    m = messages(raw, list(order), list(tx), "IUDT").withColumn("place", place)
+    # the listed order of a truncation's relations numbers its rows
+    m = m.select("*", F.posexplode(F.when(F.col("tag") == "T", F.col("rels")).otherwise(F.array("rel"))).alias("listed", "_rel"))
+    m = m.where("tag = 'D' or tag = 'T' or new_tuple is not null").select(*dict.fromkeys([*tx, *order]), "place", "listed", "tag", F.col("_rel").alias("rel"), "old_tuple", "new_tuple")
+    history = relations(raw, order)
+    if known is not None:
+        # whatever place they had, they were there before
+        history = known.select(*HISTORY).withColumn("place", F.lit(None).cast(dict(history.dtypes)["place"])).union(history.select(*HISTORY))
+    if tables:
+        history = history.withColumn("wanted", F.concat_ws(".", "schema", "table").isin(*tables))
+    rows = relation_as_of(m, history, order="place")
     if tables:
-        rows = rows.where(F.concat_ws(".", "schema", "table").isin(*tables))
-    seq = F.row_number().over(of_tx.orderBy(*order, "rel")) - 1
-    time = F.timestamp_micros("done.commit_micros")
+        rows = rows.where("wanted").drop("wanted")
+    done = transactions(raw, list(order), list(tx))
+    rows = rows.join(done, list(tx))
+    seq = (F.row_number().over(Window.partitionBy(*tx).orderBy("place", "listed")) - 1).cast("long")
+    time = F.timestamp_micros("commit_micros")
     op = F.create_map(*[F.lit(x) for kv in {"I": "INSERT", "U": "UPDATE", "D": "DELETE", "T": "DDL"}.items() for x in kv])
-    return rows.select(
-        *order,
-        lsn_text(F.col("done.commit_lsn")).alias("lsn"),
-        F.col("done.commit_lsn").alias("lsn_num"),
-        F.coalesce(F.nullif(F.col("done.end_lsn"), F.lit(0)), F.col("done.commit_lsn")).alias("position"),
-        F.col("tx_xid").alias("txid"),
-        seq.cast("long").alias("seq"),
-        time.alias("timestamp"),
-        time.alias("commit_time"),
-        op[F.col("tag")].alias("op"),
-        "schema",
-        "table",
-        F.when(F.col("tag").isin("U", "D"), _image("old_tuple")).alias("old_values"),
-        F.when(F.col("tag").isin("I", "U"), _image("new_tuple")).alias("new_values"),
-    )
+    position = F.coalesce(F.nullif(F.col("end_lsn"), F.lit(0)), F.col("commit_lsn"))
+
+    def shown(lsn: str, columns: dict) -> list:
+        """The columns of an event (or of a marker, which has no row's values)."""
+        nothing = F.lit(None)
+        image = lambda n: columns.get(n, nothing.cast("map<string,variant>")).alias(n)
+        flags = [columns.get(n, F.lit(False)).alias(n) for n in ("begin", "commit")] if markers else []
+        return [
+            *[F.col(o) if "place" not in columns else columns["place"][o].alias(o) for o in order],
+            lsn_text(F.col(lsn)).alias("lsn"),
+            F.col(lsn).alias("lsn_num"),
+            columns.get("position", position).alias("position"),
+            F.col("tx_xid").alias("txid"),
+            columns.get("seq", nothing.cast("long")).alias("seq"),
+            columns.get("timestamp", time).alias("timestamp"),
+            columns.get("timestamp", time).alias("commit_time"),
+            *[columns.get(n, nothing.cast("string")).alias(n) for n in ("op", "schema", "table")],
+            image("old_values"),
+            image("new_values"),
+            *flags,
+        ]
+
+    old, new = F.when(F.col("tag").isin("U", "D"), _image("old_tuple")), F.when(F.col("tag").isin("I", "U"), _image("new_tuple"))
+    event = {"seq": seq, "op": op[F.col("tag")], "schema": F.col("schema"), "table": F.col("table"), "old_values": old, "new_values": new}
+    events = rows.select(*shown("commit_lsn", event))
+    if not markers:
+        return events
+    no_time = F.lit(None).cast("timestamp")
+    begins = done.where("begins is not null").select(*shown("begin_lsn", {"place": F.col("begins"), "begin": F.lit(True), "timestamp": no_time, "position": F.lit(None).cast("long")}))
+    return events.unionByName(begins).unionByName(done.select(*shown("commit_lsn", {"place": F.col("ends"), "commit": F.lit(True)})))

@@ -76,29 +76,46 @@ def _text(value: Column) -> Column:
 OIDS = {"id": 20, "user_id": 20, "value": 701, "props": 25}
 
 
-def as_binary_messages(log: DataFrame) -> DataFrame:
-    """plugin, txid, ordinal, step, data: each transaction's Begin, its relations before their rows, the rows and Commit.
+#: A table's relation changes (its columns are sent in another order) every so many events.
+RELATION_EPOCH = 400
 
-    Relation numbers are crc32 of the table's name. Order within a transaction is (ordinal, step).
+
+def as_binary_messages(log: DataFrame, truncated: DataFrame | None = None) -> DataFrame:
+    """plugin, txid, ordinal, step, data: each transaction's Begin, its rows and Commit, as a stream sends them.
+
+    A table's Relation stands once before its first row, and again where it changes: every RELATION_EPOCH events its columns
+    change places. Relation numbers are crc32 of the table's name. Order is (ordinal, step). truncated (txid, ordinal, tables)
+    adds a Truncate of the listed tables after the row of that ordinal.
     """
     ascii_ = lambda x: F.encode(F.lit(x), "utf-8")
-    rel = _int(F.crc32(F.encode("table", "utf-8")) % (1 << 31), 4)
-    nul = F.lit(b"\x00")
-    cells = F.concat(_int(F.lit(4), 2), *[_text(F.col(c).cast("string")) for c in ("ordinal", "user_id", "value", "props")])
-    key = F.concat(_int(F.lit(4), 2), _text(F.col("ordinal").cast("string")), *[ascii_("n")] * 3)
+    number = lambda t: _int(F.crc32(F.encode(t, "utf-8")) % (1 << 31), 4)
+    rel, nul = number(F.col("table")), F.lit(b"\x00")
+    epoch = F.floor(F.col("ordinal") / F.lit(float(RELATION_EPOCH))) % 2
+    orders = [list(OIDS), ["id", "props", "value", "user_id"]]
+    by_epoch = lambda made: F.when(epoch == 0, made(orders[0])).otherwise(made(orders[1]))
+    text = {"id": _text(F.col("ordinal").cast("string"))} | {c: _text(F.col(c).cast("string")) for c in OIDS if c != "id"}
+    cells = by_epoch(lambda names: F.concat(_int(F.lit(4), 2), *[text[c] for c in names]))
+    key = F.concat(_int(F.lit(4), 2), text["id"], *[ascii_("n")] * 3)
     row = (
         F.when(F.col("op") == "INSERT", F.concat(ascii_("I"), rel, ascii_("N"), cells))
         .when(F.col("op") == "UPDATE", F.concat(ascii_("U"), rel, ascii_("K"), key, ascii_("N"), cells))
         .otherwise(F.concat(ascii_("D"), rel, ascii_("K"), key))
     )
-    columns = F.concat(*[F.concat(F.lit(b"\x01" if c == "id" else b"\x00"), ascii_(c), nul, _int(F.lit(o), 4), F.lit(b"\xff\xff\xff\xff")) for c, o in OIDS.items()])
+    column = lambda c: F.concat(F.lit(b"\x01" if c == "id" else b"\x00"), ascii_(c), nul, _int(F.lit(OIDS[c]), 4), F.lit(b"\xff\xff\xff\xff"))
+    columns = by_epoch(lambda names: F.concat(*[column(c) for c in names]))
     relation = F.concat(ascii_("R"), rel, F.encode("schema", "utf-8"), nul, F.encode("table", "utf-8"), nul, ascii_("d"), _int(F.lit(4), 2), columns)
     micros = F.unix_micros("commit_time") - EPOCH_2000 * 1000000
     begin = F.concat(ascii_("B"), _int(F.col("lsn_num"), 8), _int(micros, 8), _int(F.col("txid"), 4))
     commit = F.concat(ascii_("C"), nul, _int(F.col("lsn_num"), 8), _int(F.col("lsn_num") + 64, 8), _int(micros, 8))
     tx = log.groupBy("txid", "lsn_num", "commit_time").agg(F.min("ordinal").alias("first"), F.max("ordinal").alias("last"))
+    sent = log.groupBy("schema", "table", F.floor(F.col("ordinal") / F.lit(float(RELATION_EPOCH))).alias("_e")).agg(F.min(F.struct("ordinal", "txid")).alias("f"))
+    sent = sent.select("schema", "table", F.col("f.ordinal").alias("ordinal"), F.col("f.txid").alias("txid"))
     head = ["txid", F.lit("pgoutput").alias("plugin")]
-    out = log.select(*head, "ordinal", F.lit(1).alias("step"), relation.alias("data"))
+    out = sent.select(*head, "ordinal", F.lit(1).alias("step"), relation.alias("data"))
     out = out.unionByName(log.select(*head, "ordinal", F.lit(2).alias("step"), row.alias("data")))
+    if truncated is not None:
+        listed = F.aggregate(F.transform("tables", number), F.lit(b""), lambda a, x: F.concat(a, x))
+        data = F.concat(ascii_("T"), _int(F.size("tables"), 4), nul, listed)
+        out = out.unionByName(truncated.select(*head, "ordinal", F.lit(3).alias("step"), data.alias("data")))
     out = out.unionByName(tx.select(*head, F.col("first").alias("ordinal"), F.lit(0).alias("step"), begin.alias("data")))
-    return out.unionByName(tx.select(*head, F.col("last").alias("ordinal"), F.lit(3).alias("step"), commit.alias("data")))
+    return out.unionByName(tx.select(*head, F.col("last").alias("ordinal"), F.lit(4).alias("step"), commit.alias("data")))
