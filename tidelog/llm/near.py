@@ -328,8 +328,8 @@ def near_classes(docs: DataFrame) -> DataFrame:
     groups = saved(banded.join(shared, "key").select("key", "doc", "n"), "groups")
     discard(banded, shared)
     wanted = saved(groups.select(F.col("doc").alias("t")).distinct().join(texts, "t").select(F.col("rep").alias("doc"), "name", "t"), "candidates")
-    # by id alone, which is narrow enough to spare the texts a shuffle as long as Spark may broadcast it; the sets find their texts then
-    sets = source.join(wanted.select("doc").distinct(), "doc", "left_semi").select("doc", "name", "text")
+    # shuffled at every size, so that the plan of a small run is that of a large one
+    sets = source.join(wanted.select("doc").distinct().hint("shuffle_hash"), "doc", "left_semi").select("doc", "name", "text")
     sets = sets.mapInArrow(_shingled, "doc long, name binary, items binary, counts binary").join(wanted, ["doc", "name"])
     # rows that repeat an id and its text give equal sets
     sets = saved(sets.dropDuplicates(["doc", "name"]).select(F.col("t").alias("doc"), "items", "counts"), "shingles")
