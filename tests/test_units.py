@@ -219,6 +219,73 @@ def test_retries():
     assert capture.is_fatal(capture.ReplicationError("", "28P01")) and not capture.is_fatal(OSError())
 
 
+def broken(mark):
+    """A client that takes nothing of tables b until the file mark is there. Made here, so that workers get its code."""
+
+    class Broken(publish.Client):
+        def send(self, messages):
+            import os
+
+            def ack(subject):
+                def wait_for(timeout):
+                    if subject.endswith(".b") and not os.path.exists(mark):
+                        raise TimeoutError("down")
+
+                return wait_for
+
+            return [ack(s) for s, _, _ in messages]
+
+    return Broken
+
+
+@pytest.mark.parametrize("unordered", [False, True])
+def test_failed_batch_is_repeated_once_for_each_event(spark, tmp_path, unordered):
+    """A sink that fails: the batch raises, and its repetition sends only what wasn't acknowledged."""
+    rows = [(f"0/{i:X}", i, 7, "INSERT", "s", "ab"[i % 2], 0, None, None) for i in range(6)]
+    e = spark.createDataFrame(rows, "lsn string, lsn_num long, txid long, op string, schema string, table string, seq long, old_values map<string,string>, new_values map<string,string>").withColumns({"timestamp": F.lit(None).cast("timestamp"), "commit_time": F.current_timestamp(), "begin": F.lit(False), "commit": F.lit(False)})
+    c = config.Config(max_publish_retries=1, unsafe_unordered_async_publish=unordered)
+    registry = metrics.Registry()
+    letters = run.BatchStore(f"file://{tmp_path}/letters")
+    mark = str(tmp_path / "up")
+    sink = run.Delivery(broken(mark), c, f"file://{tmp_path}/results", letters, wait=lambda s: None, registry=registry)
+    with pytest.raises(run.PublishError, match="down"):
+        run.publish_batch(e, c, sink, letters, batch_id=4, registry=registry)
+    open(mark, "w").close()
+    run.publish_batch(e, c, sink, letters, batch_id=4, registry=registry)
+    got = spark.read.schema(publish.DELIVERED).option("recursiveFileLookup", True).parquet(f"file://{tmp_path}/results").where("outcome = 'acked'").collect()
+    assert sorted(r.event_id for r in got) == sorted(f"0/{i:X}:7:INSERT:s.{'ab'[i % 2]}:0" for i in range(6))
+    v = registry.values
+    assert v["cdc_publisher_jetstream_published_total"] == 6 and v["cdc_publisher_jetstream_ack_failures_total"] == 3 and v["cdc_engine_partial_batch_failures_total"] == 1
+    assert v["cdc_publisher_publish_retries_total"] == (3 if unordered else 1) and sum(registry.histograms["cdc_engine_transform_latency_nanoseconds"]["counts"]) == 1
+
+
+def test_repeated_batch_replaces_its_rows(spark, tmp_path):
+    store = run.BatchStore(f"file://{tmp_path}/s")
+    for n in (3, 3):
+        store(spark.range(n), 0)
+    store(spark.range(1), 1)
+    assert store.read(spark, "id long").count() == 4
+
+
+def test_client_choice(tmp_path):
+    noop = publish.choose_client((" ",), True)()
+    noop.send([("s", "p", "m")])[0](1.0)
+    assert noop.last_subject == "s" and noop.ready() and run.readiness({"publisher": noop.ready()})[0] == 503
+    with pytest.raises(ValueError, match="isn't allowed"):
+        publish.choose_client((), False)
+    folder = publish.choose_client((f"file://{tmp_path}/out",), False)()
+    folder.send([("s", "p", "m")])[0](1.0)
+    folder.close()
+    assert [json.loads(x) for f in (tmp_path / "out").iterdir() for x in f.read_text().splitlines()] == [{"subject": "s", "payload": "p", "msg_id": "m"}]
+
+
+def test_slot_checkpoint(spark):
+    rows = spark.createDataFrame([("a", "0/FF"), ("a", "0/100"), ("b", None)], "slot string, lsn string")
+    assert capture.slot_checkpoint(rows, "a") == "0/100" and capture.slot_checkpoint(rows, "b") == ""
+    with pytest.raises(LookupError):
+        capture.slot_checkpoint(rows, "c")
+
+
 def test_quantile_of_empty(spark):
     e = spark.createDataFrame([], "micros long")
     h = metrics.histogram(e, "micros", (1, 2))
@@ -256,6 +323,45 @@ def test_capture_stream_resumes_at_commits(spark, tmp_path):
     assert capture.position("1/A") == (1 << 32) + 10 and capture.position("?") == 0
 
 
+def test_capture_feedback_and_faults(tmp_path):
+    """The acknowledged position is told and found again, idle streams repeat it, bad lines are counted, new files alone are read."""
+    (tmp_path / "in").mkdir()
+    line = lambda o, c: json.dumps({"plugin": "pgoutput", "ordinal": o, "data64": "Qg==", "commit": c})
+    (tmp_path / "in" / "0.json").write_text("\n".join([line(0, False), "{bad", '{"keepalive": "0/1"}', line(1, True), line(2, False)]))
+    now, options = [0.0], {"path": f"file://{tmp_path}/in", "ackPath": f"file://{tmp_path}/ack"}
+    with pytest.warns(UserWarning, match="read from its begin"):
+        r = capture.CaptureReader(options, lambda: now[0])
+    assert r.initialOffset() == {"ordinal": -1} and r.latestOffset() == {"ordinal": 1} and r.bad_lines == 1
+    (tmp_path / "in" / "1.json").write_text("\n".join([line(3, True), line(4, True)]))
+    opened, rows = [], r._rows
+    r._rows = lambda p: opened.append(p) or rows(p)
+    assert r.latestOffset() == {"ordinal": 4} and [p[-6:] for p in opened] == ["1.json"]
+    parts = r.partitions({"ordinal": 1}, {"ordinal": 4})
+    assert [x[2:] for p in parts for x in r.read(p)] == [(2, b"B", False, 2), (3, b"B", True, 2), (4, b"B", True, 4)]
+    r.commit({"ordinal": 4})
+    r.commit({"ordinal": 1})
+    told = lambda: json.loads((tmp_path / "ack").read_text())
+    assert told()["ordinal"] == 4
+    now[0] = 50.0
+    r.latestOffset()
+    assert told()["at"] == 50.0 and capture.CaptureReader(options).initialOffset() == {"ordinal": 4}
+    (tmp_path / "in" / "2.json").write_text('{"error": "terminating", "sqlstate": "57P01"}')
+    with pytest.raises(capture.ReplicationError) as e:
+        r.latestOffset()
+    assert capture.is_fatal(e.value)
+
+
+def test_capture_offers_never_go_back(tmp_path):
+    """A limited reader that starts anew goes on from what was offered, not from the begin."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "0.json").write_text("\n".join(json.dumps({"ordinal": i, "data": "", "commit": True}) for i in range(6)))
+    options = {"path": f"file://{tmp_path}/in", "ackPath": f"file://{tmp_path}/ack", "maxTransactions": "2"}
+    with pytest.warns(UserWarning):
+        assert [capture.CaptureReader(options).latestOffset()["ordinal"] for _ in range(4)] == [1, 3, 5, 5]
+    with pytest.raises(ValueError, match="ackPath"):
+        capture.CaptureReader(options | {"ackPath": ""})
+
+
 def test_sink_description(spark, tmp_path):
     path = f"file://{tmp_path}/sink"
     publish.ensure_table(spark, path, {"storage": "file"})

@@ -15,7 +15,7 @@ from tidelog.operators import metrics, replay
 from tidelog.operators import publish as pub
 from tidelog.operators import transactions as tx
 from tidelog.operators.normalize import normalize, serialized
-from tidelog.sources import binary_messages, json_messages
+from tidelog.sources import binary_messages, capture, json_messages
 from tidelog.sources.changes import DATABASE, as_binary_messages, as_json_messages, changes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -495,6 +495,22 @@ def cdc_envelope_json(spark, sf_dir):
     )
 
 
+@query("""
+SELECT event_id, concat('{"event_id":"', event_id, '","event_type":"cdc.', lower(op), '","source":"shop","timestamp":"', shown, '","commit_time":"', shown, '","lsn":"', lsn, '","txid":', txid,
+  ',"schema":"public","table":"', tbl, '","operation":"', op, '",', CASE WHEN op <> 'INSERT' THEN concat('"before":{"id":', ordinal, '},') ELSE '' END,
+  CASE WHEN op <> 'DELETE' THEN concat('"after":{"Z":null,"id":', ordinal, ',"note":"\\u003ca \\u0026 b\\u003e","user_id":', user_id, '},') ELSE '' END, '"metadata":{"txid":"', txid, '"}}') AS payload
+FROM (SELECT *, concat(strftime(ts, '%Y-%m-%dT%H:%M:%S'), rtrim(rtrim(strftime(ts, '.%f'), '0'), '.'), 'Z') AS shown FROM e)
+""")
+def cdc_envelope_bytes(spark, sf_dir):
+    """The serialized envelope byte by byte: sorted names, escapes, nulls within images, times without idle digits."""
+    v = lambda c: c.cast("variant")
+    key = F.create_map(F.lit("id"), v(F.col("ordinal")))
+    after = F.create_map(F.lit("user_id"), v(F.col("user_id")), F.lit("note"), v(F.lit("<a & b>")), F.lit("id"), v(F.col("ordinal")), F.lit("Z"), F.lit(None).cast("variant"))
+    images = {"old_values": F.when(F.col("op") != "INSERT", key), "new_values": F.when(F.col("op") != "DELETE", after)}
+    e = events_of(spark, sf_dir).withColumns({**images, "timestamp": F.col("ts"), "commit_time": F.col("ts")})
+    return serialized(normalize(e, DATABASE)).select("event_id", "payload")
+
+
 @query("""
 SELECT ordinal, concat(hex(ordinal * 3), '/', hex(ordinal * 7919)) AS lsn, CAST(CAST(ordinal * 3 AS HUGEINT) * 4294967296 + ordinal * 7919 AS VARCHAR) AS number,
        CASE WHEN ordinal % 10 = 0 THEN '0' ELSE CAST(CAST(ordinal * 3 AS HUGEINT) * 4294967296 + ordinal * 7919 AS VARCHAR) END AS start_at FROM w
@@ -515,11 +531,16 @@ def cdc_text_settings(spark, sf_dir):
     return n.select("n_nationkey", items.alias("items"), names.url_database(url).alias("db"))
 
 
-@query("SELECT slot, coalesce(max(lsn), '') AS lsn FROM (SELECT txid % 5 AS slot, CASE WHEN txid % 5 <> 3 THEN lpad(hex(lsn_num), 12, '0') END AS lsn FROM q) GROUP BY slot")
+@query("""
+SELECT slot, CASE WHEN max(n) IS NULL THEN '' ELSE concat(hex(max(n) // 4294967296), '/', hex(max(n) % 4294967296)) END AS lsn
+FROM (SELECT txid % 5 AS slot, CASE WHEN txid % 5 <> 3 THEN 4294967296 * (txid % 20) + (txid * 7919) % 65536 END AS n FROM q) GROUP BY slot
+""")
 def cdc_slot_position(spark, sf_dir):
-    """The confirmed position of each slot; one without a position has the empty text."""
-    q = log_of(spark, sf_dir).select((F.col("txid") % 5).alias("slot"), F.when(F.col("txid") % 5 != 3, F.lpad(F.hex("lsn_num"), 12, "0")).alias("lsn"))
-    return q.groupBy("slot").agg(F.coalesce(F.max("lsn"), F.lit("")).alias("lsn"))
+    """The position that each slot resumes from, of rows as the database gives them; one without a position has the empty text."""
+    t = log_of(spark, sf_dir).select("txid").distinct()
+    n = 4294967296 * (F.col("txid") % 20) + (F.col("txid") * 7919) % 65536
+    rows = t.select((F.col("txid") % 5).alias("slot"), F.when(F.col("txid") % 5 != 3, lsn_text(n)).alias("lsn"))
+    return capture.confirmed(rows)
 
 
 @query("""

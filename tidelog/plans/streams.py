@@ -9,8 +9,11 @@ from tidelog.config import Config
 from tidelog.operators.transactions import sequenced
 from tidelog.plans.catalog import LOG
 from tidelog.plans.folders import shared_folder
-from tidelog.sources.changes import DATABASE, changes
-from tidelog.streaming.run import deduplicated, start
+from tidelog.sources.binary_messages import RelationStore, decode, relations
+from tidelog.sources.capture import CaptureSource, write_lines
+from tidelog.sources.changes import DATABASE, as_binary_messages, changes
+from tidelog.operators.publish import DELIVERED, Client, PermanentError
+from tidelog.streaming.run import BatchStore, Delivery, deduplicated, shut_down, start
 
 _EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
@@ -42,16 +45,102 @@ def stream_normalized_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             {"lsn": lsn_text(F.col("lsn_num")), "timestamp": F.col("ts"), "old_values": nothing, "new_values": nothing, "begin": F.lit(False), "commit": F.lit(False)}
         )
 
-    def sink(rows: DataFrame) -> None:
-        rows.select("event_id", "event_type", "subject", "txid").write.mode("append").parquet(f"{out}/events")
+    store = BatchStore(f"{out}/events")
+    sink = lambda rows, batch_id: store(rows.select("event_id", "event_type", "subject", "txid"), batch_id)
+    config = Config(database=DATABASE)
+    # one file of the table is one batch here, so that transactions stay whole; a real log comes by the capture source
+    start(_stream(spark, sf_dir), transform, config, sink, BatchStore(f"{out}/letters"), f"{out}/checkpoint", available_now=True).awaitTermination()
+    return store.read(spark, "event_id string, event_type string, subject string, txid long")
 
-    def letters(rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(f"{out}/letters")
 
-    config = Config(database=DATABASE)
-    # one file of the table is one batch here, so that transactions stay whole
-    start(_stream(spark, sf_dir), transform, config, sink, letters, f"{out}/checkpoint", available_now=True).awaitTermination()
-    return spark.read.schema("event_id string, event_type string, subject string, txid long").parquet(f"{out}/events")
+def _numbered(batch: DataFrame) -> DataFrame:
+    """Transactions of 25 changes at positions whose texts have two to nine digits, so that text order is not log order."""
+    from tidelog.functions.lsn import lsn_text
+
+    tx = F.floor(F.col("event_id") / F.lit(25.0)).cast("long")
+    nothing = F.lit(None).cast("map<string,string>")
+    rows = batch.select(
+        F.col("event_id").alias("ordinal"), tx.alias("txid"), (tx * tx * 16 + 250).alias("lsn_num"), F.col("event_type").alias("table"), F.lit("public").alias("schema"), F.lit("INSERT").alias("op"), F.col("ts").cast("timestamp").alias("timestamp")
+    )
+    return sequenced(rows).withColumns({"lsn": lsn_text(F.col("lsn_num")), "commit_time": F.col("timestamp"), "old_values": nothing, "new_values": nothing})
+
+
+class _Flaky(Client):
+    """Fails a message as often as its sequence modulo 3 says before it takes it, and never takes one whose sequence is 24."""
+
+    def __init__(self):
+        self.seen: dict[str, int] = {}
+
+    def send(self, messages):
+        def ack(msg_id: str):
+            seq, n = int(msg_id.rpartition(":")[2]), self.seen.get(msg_id, 0)
+            self.seen[msg_id] = n + 1
+
+            def wait_for(timeout):
+                if seq == 24:
+                    raise PermanentError("max payload")
+                if n < seq % 3:
+                    raise TimeoutError("no acknowledgement")
+
+            return wait_for
+
+        return [ack(m) for _, _, m in messages]
+
+
+def _delivered(spark: SparkSession, sf_dir: str, in_order: bool) -> DataFrame:
+    out = shared_folder(spark, "delivered")
+    config = Config(database=DATABASE, unsafe_unordered_async_publish=not in_order)
+    sink = Delivery(_Flaky, config, f"{out}/results", BatchStore(f"{out}/letters"), wait=_no_wait)
+    start(_stream(spark, sf_dir), _numbered, config, sink, BatchStore(f"{out}/poison"), f"{out}/checkpoint", available_now=True).awaitTermination()
+    return spark.read.schema(DELIVERED).option("recursiveFileLookup", True).parquet(f"{out}/results")
+
+
+def stream_capture_pgoutput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A binary capture in several files and micro-batches: transactions over file ends, relations sent once, decoded and published.
+
+    Files hold 1,000 messages each and a batch a third of the transactions, so that both cut the log anywhere; a batch's relations
+    are kept for the later ones.
+    """
+    out = shared_folder(spark, "capture")
+    spark.dataSource.register(CaptureSource)
+    log = as_binary_messages(changes(spark.read.parquet(f"{sf_dir}/events.parquet")))
+    # a message's number in the log; a change has at most five messages
+    log = log.select("plugin", (F.col("ordinal") * 5 + F.col("step")).alias("ordinal"), F.base64("data").alias("data64"), (F.col("step") == 4).alias("commit"))
+    file = F.lpad(F.floor(F.col("ordinal") / 1000).cast("string"), 12, "0")
+    lines = log.select(file.alias("file"), "ordinal", F.to_json(F.struct("plugin", "ordinal", "data64", "commit")).alias("line"))
+    write_lines(lines, f"{out}/in")
+    most = spark.read.parquet(f"{sf_dir}/events.parquet").count() // 21 + 1
+    store = RelationStore(f"{out}/relations")
+
+    def transform(batch: DataFrame, batch_id: int) -> DataFrame:
+        known = store.known(spark, batch_id)
+        history = relations(batch)
+        store.keep(history if known is None else known.unionByName(history), batch_id)
+        return decode(batch, ("ordinal",), ("tx",), known=known, markers=True)
+
+    rows = BatchStore(f"{out}/events")
+    sink = lambda x, batch_id: rows(x.select("event_id", "subject", "lsn", "txid", "seq"), batch_id)
+    stream = spark.readStream.format(CaptureSource.name()).options(path=f"{out}/in", plugin="pgoutput", maxTransactions=str(most), ackPath=f"{out}/acked").load()
+    query = start(stream, transform, Config(database=DATABASE, plugin="pgoutput", batch_timeout=0.01), sink, BatchStore(f"{out}/letters"), f"{out}/checkpoint")
+    try:
+        query.processAllAvailable()
+    finally:
+        shut_down(query)
+    return rows.read(spark, "event_id string, subject string, lsn string, txid long, seq long")
+
+
+def _no_wait(seconds: float) -> None:
+    pass
+
+
+def stream_ordered_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each message's place among its subject's acknowledged ones: log order, in spite of retries and of poison messages."""
+    return _delivered(spark, sf_dir, True).where("outcome = 'acked'").select("event_id", "subject", "place", "tries")
+
+
+def stream_retry_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unordered delivery: only what failed is tried again, and what can't be delivered isn't."""
+    return _delivered(spark, sf_dir, False).select("event_id", "subject", "tries", "outcome", "error")
 
 
 def stream_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,8 +157,18 @@ def stream_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, w.select(F.col("w.start").alias("start"), "event_type", "n"), "rates").select(F.unix_micros("start").alias("start"), "event_type", "n")
 
 
-QUERIES = {f.__name__: f for f in (stream_normalized_events, stream_deduplicated, stream_rates)}
+QUERIES = {f.__name__: f for f in (stream_normalized_events, stream_ordered_publish, stream_retry_publish, stream_capture_pgoutput, stream_deduplicated, stream_rates)}
+_NUMBERED = """
+WITH t AS (SELECT event_id AS ordinal, event_type AS tbl, event_id // 25 AS txid FROM events),
+n AS (SELECT *, row_number() OVER (PARTITION BY txid ORDER BY ordinal) - 1 AS seq, txid * txid * 16 + 250 AS lsn_num FROM t),
+e AS (SELECT *, concat('0/', hex(lsn_num), ':', txid, ':INSERT:public.', tbl, ':', seq) AS event_id, concat('cdc.shop.public.', tbl) AS subject FROM n)
+"""
 SQL = {
+    "stream_capture_pgoutput": "WITH " + LOG + "SELECT event_id, subject, lsn, txid, seq FROM e",
+    "stream_ordered_publish": _NUMBERED
+    + "SELECT event_id, subject, row_number() OVER (PARTITION BY subject ORDER BY lsn_num, seq) - 1 AS place, CAST(seq % 3 + 1 AS INTEGER) AS tries FROM e WHERE seq <> 24",
+    "stream_retry_publish": _NUMBERED
+    + "SELECT event_id, subject, CASE WHEN seq = 24 THEN 1 ELSE CAST(seq % 3 + 1 AS INTEGER) END AS tries, CASE WHEN seq = 24 THEN 'permanent' ELSE 'acked' END AS outcome, CASE WHEN seq = 24 THEN 'max payload' END AS error FROM e",
     "stream_normalized_events": "WITH " + LOG + "SELECT event_id, concat('cdc.', lower(op)) AS event_type, subject, txid FROM e",
     "stream_deduplicated": "SELECT event_id, event_type FROM events",
     "stream_rates": """
