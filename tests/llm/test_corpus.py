@@ -45,63 +45,85 @@ def test_ranges():
     assert got == [(0, warc.GAP + 16, 3), (3 * warc.GAP, 2, 1), (3 * warc.GAP + 2, warc.READ, 1)]
 
 
-@pytest.mark.parametrize("context", [1e-4, 0.02, 0.9])
-def test_lm(spark, docs, nulls, empty, context):
-    out = collections.defaultdict(list)
-    for r in lm.score(docs, context).collect():
-        out[r.doc_id].append(r)
-    words = [(r.doc_id, (r.text or "").encode().translate(LOWER).split() + [None]) for r in docs.collect()]
-    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in words}
-    counts, pairs = collections.Counter(), collections.defaultdict(collections.Counter)
+def plain_scores(words):
+    """words: (id, tokens) -> (counts, total, base score and model score of (id, tokens)) by the model's definition."""
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    counts, pairs, triples = collections.Counter(), collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter)
     for i, w in words:
-        if not held[i]:
+        if not held(i):
             counts.update(w)
             for a, b in zip(["begin", *w], w):
                 pairs[a][b] += 1
-    total, distinct = sum(counts.values()), len(counts)
-    p = lambda w: (counts[w] + 1) / (total + distinct + 1)
+            for a, b, c in zip(["begin", *w], w, w[1:]):
+                triples[a, b][c] += 1
+    total, distinct, d = sum(counts.values()), len(counts), lm.D[0] / lm.D[1]
 
-    def token(a, w):
-        n = sum(pairs[a].values())
-        if a == "begin" or a is not None and counts[a] >= max(1, context * total):
-            return max(pairs[a][w] - lm.D, 0) / n + lm.D * len(pairs[a]) / n * p(w)
-        return p(w)
+    def p1(w):
+        return (counts[w] + 1) / (total + distinct + 1)
 
-    assert len(docs.collect()) == sum(map(len, out.values()))
+    def p2(a, w):
+        n = sum(pairs[a].values())
+        return max(pairs[a][w] - d, 0) / n + d * len(pairs[a]) / n * p1(w) if n else p1(w)
+
+    def p3(a, b, w):
+        arcs = {k: v for k, v in triples[a, b].items() if v >= lm.MIN_COUNT}
+        if not arcs:
+            return p2(b, w)
+        n = sum(triples[a, b].values())
+        assert n == pairs[a][b]
+        return max(arcs.get(w, 0) - d, 0) / n + (1 - sum(v - d for v in arcs.values()) / n) * p2(b, w)
+
+    def model(w):
+        return sum(math.log10(p3(w[k - 2] if k > 1 else "begin", w[k - 1], x) if k else p2("begin", x)) for k, x in enumerate(w))
+
+    busy = max(triples, key=lambda k: sum(triples[k].values()), default=None)
+    if busy:  # a state's probabilities sum to one over the vocabulary and one unknown word
+        assert sum(p3(*busy, w) for w in [*counts, b"never seen"]) == pytest.approx(1, rel=1e-9)
+    return held, counts, total, lambda w: sum(math.log10(p1(x)) for x in w), model
+
+
+@pytest.mark.parametrize("fan", [1024, 2])
+def test_lm(spark, docs, monkeypatch, fan):
+    """All counts and both scores; with more blocks than a row's ranges, messages are split a second time and stay the same."""
+    from tidelog.llm import common, exchange
+
+    if fan == 2:
+        monkeypatch.setattr(common, "MIN_BLOCKS", 9)
+        monkeypatch.setattr(common, "MAX_BUCKETS", 4)
+        monkeypatch.setattr(exchange, "FAN", 2)
+    out = collections.defaultdict(list)
+    for r in lm.score(docs).collect():
+        out[r.doc_id].append(r)
+    words = [(r.doc_id, (r.text or "").encode().translate(LOWER).split() + [None]) for r in docs.collect()]
+    held, counts, total, base, model = plain_scores(words)
+    assert len(words) == sum(map(len, out.values()))
     for i, w in words:
         for r in out[i]:
-            assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[i], len(w), sum(counts[x] > 0 for x in w), total)
-            assert r.base_score == pytest.approx(sum(math.log10(p(x)) for x in w), rel=1e-9)
-            assert r.score == pytest.approx(sum(math.log10(token(a, x)) for a, x in zip(["begin", *w], w)), rel=1e-9)
-    # a state's probabilities sum to one over the vocabulary and one unknown word
-    busy = max((a for a in pairs if isinstance(a, bytes)), key=lambda a: counts[a])
-    if counts[busy] >= context * total:
-        assert sum(token(busy, w) for w in [*counts, b"never seen"]) == pytest.approx(1, rel=1e-9)
+            assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(i), len(w), sum(counts[x] > 0 for x in w), total)
+            assert r.base_score == pytest.approx(base(w), rel=1e-9)
+            assert r.score == pytest.approx(model(w), rel=1e-9)
 
 
-def test_lm_every_word_is_a_state(spark):
-    """Words far under any share of the tokens have their followers counted, hot ones and rare ones alike."""
+def test_lm_rare_histories(spark):
+    """Words and pairs far under any share of the tokens are states, frequent ones too."""
     filler = " ".join(f"f{i * i % 97}" for i in range(60_000))
     texts = [(0, filler)] + [(i, "rare bird sings. rare bird flies " + f"only{i % 4} here") for i in range(1, 14)]
-    words = {i: [*t.split(), None] for i, t in texts}
-    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in words}
-    assert not held[0] and any(held.values())
-    counts, pairs = collections.Counter(), collections.defaultdict(collections.Counter)
-    for i, w in words.items():
-        if not held[i]:
-            counts.update(w)
-            for a, b in zip(["begin", *w], w):
-                pairs[a][b] += 1
-    total = sum(counts.values())
-    assert counts["only1"] > 1 and counts["only1"] / total < 1e-4
+    words = [(i, [*t.split(), None]) for i, t in texts]
+    held, counts, total, _, model = plain_scores(words)
+    assert not held(0) and any(held(i) for i, _ in words) and counts["only1"] / total < 1e-4
+    got = {r.doc_id: r for r in lm.score(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)).collect()}
+    for i, w in words:
+        assert got[i].score == pytest.approx(model(w), rel=1e-9)
 
-    def token(a, w):
-        p, n = (counts[w] + 1) / (total + len(counts) + 1), sum(pairs[a].values())
-        return max(pairs[a][w] - lm.D, 0) / n + lm.D * len(pairs[a]) / n * p if n else p
 
-    got = {r.doc_id: r for r in lm.score(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)).collect()}
-    for i, w in words.items():
-        assert got[i].score == pytest.approx(sum(math.log10(token(a, x)) for a, x in zip(["begin", *w], w)), rel=1e-9)
+def test_messages_grow_with_the_keys():
+    """A block sends no more rows than ranges, whatever the number of buckets, and no more pieces than keys."""
+    from tidelog.llm import exchange
+
+    keys = np.random.default_rng(0).integers(0, 1 << 63, 5000).astype(np.uint64) << np.uint64(1)
+    for n in (7, 10**6, 10**9):
+        t = exchange.sent(3, keys, np.ones(5000, np.int64), n)
+        assert t.num_rows <= min(n, exchange.FAN) and sum(len(x.as_py()) // 4 for x in t.column("size")) <= 5000
 
 
 def test_lm_odd_tables(nulls, empty):

@@ -17,6 +17,10 @@ LETTERS = bytes(
 #: Bytes of text that one block of documents holds, so that a block fits a Python worker.
 BLOCK_BYTES = 8 << 20
 MIN_BLOCKS = 64
+#: Buckets of a block table at most (Spark allows 100,000).
+MAX_BUCKETS = 50_000
+#: The block tables that each session has made.
+_tables: dict[SparkSession, list[str]] = {}
 
 
 def scratch(spark: SparkSession) -> str:
@@ -65,27 +69,37 @@ def n_blocks(docs: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES
 
 
 def in_blocks(docs: DataFrame, n: int, extra: list | None = None) -> DataFrame:
-    """part, doc_id, text and the extra columns text is binary, null text empty), dealt so that a block lies in one task. A block takes rows by a hash of id and text, so rows that repeat an id spread as well."""
+    """part, doc_id, text and the extra columns (text is binary, null text empty), dealt so that a block lies in one task. A block takes rows by a hash of id and text, so rows that repeat an id spread as well."""
     return docs.select(
-        F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(n)).cast("int").alias("part"),
+        F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(n)).cast("long").alias("part"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
         *(extra or []),
-    ).repartition(n, "part")
+    ).repartition(min(n, MAX_BUCKETS), "part")
 
 
-def block_table(docs: DataFrame, n: int, extra: list | None = None) -> DataFrame:
-    """in_blocks(docs), stored once as a table bucketed by part, so that later passes over the blocks shuffle no text.
+def bucketed(rows: DataFrame, n: int) -> DataFrame:
+    """rows (with a part below n), stored once as a table bucketed by part, so that later passes over the blocks don't shuffle them.
 
-    Its files lie in the shared folder; the session's catalog names it until drop_block_tables().
+    A bucket holds one block, or several where there are more than MAX_BUCKETS. The files lie in the shared folder; the session's
+    catalog names them until drop_block_tables().
     """
-    spark = docs.sparkSession
-    name = f"tidelog_blocks_{uuid.uuid4().hex}"
-    in_blocks(docs, n, extra).write.option("compression", "zstd").option("path", fresh_path(spark, "blocks")).bucketBy(n, "part").saveAsTable(name)
+    spark = rows.sparkSession
+    name, n = f"tidelog_blocks_{uuid.uuid4().hex}", min(n, MAX_BUCKETS)
+    _tables.setdefault(spark, []).append(name)
+    rows.repartition(n, "part").write.option("compression", "zstd").option("path", fresh_path(spark, "blocks")).bucketBy(n, "part").saveAsTable(name)
     return spark.table(name)
 
 
+def block_table(docs: DataFrame, n: int, extra: list | None = None) -> DataFrame:
+    """in_blocks(docs), as bucketed() stores it."""
+    return bucketed(in_blocks(docs, n, extra), n)
+
+
 def drop_block_tables(spark: SparkSession) -> None:
-    for t in spark.catalog.listTables():
-        if t.name.startswith("tidelog_blocks_"):
-            spark.sql(f"DROP TABLE {t.name}")
+    """Drops this session's block tables and deletes their files; only when no result that reads them is needed any more."""
+    for name in _tables.pop(spark, []):
+        path = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
+        spark.sql(f"DROP TABLE {name}")
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -1,315 +1,222 @@
 """Language-model scores from a weighted backoff automaton.
 
-The model is a bigram model with absolute discounting over an add-one unigram
-model. As an automaton: every word v that training has followers for and the
-begin of a text are states. State v has an arc for each word w that followed v
-in training, with log10 of (c(vw) - D) / c(v) + D T(v) / c(v) p(w), T(v) being the
-number of distinct followers, and a failure arc of weight log10(D T(v) / c(v)) to
-the root, whose arcs are the unigrams. The probabilities of all followers of a
-state sum to 1. A text is traversed once from left to right; after a word the
-state is that word's, or the root where training has none of it, so a block's
-traversal is done on arrays.
-
-Counts are taken over all training documents, block by block: a block sends its
-distinct words (and pairs) with its own counts to buckets by hash, a bucket adds
-them up and answers each block with the totals, in the order in which the block
-sent them. Thus each block gets the part of the automaton that its texts can
-reach, no task gets more than that, and a word of a third of all tokens is one
-entry a block. Pairs lie in their state's bucket, which counts its followers.
-Only the pairs of hot states (words with a share of at least HOT of all training
-tokens, so there are at most 1 / HOT of them, and the begin) are dealt by the
-pair, and their followers are summed up over the buckets. Words are keyed by
-64-bit hashes.
-
-Defined cases: null and empty texts are the end token alone; a null doc_id counts
-as the empty string when it is drawn for training; repeated rows count each;
-without training documents every token has the add-one probability; an empty
-table gives no rows.
+The model has histories of two words, of one and of none, with absolute discounting over an add-one unigram model. As an
+automaton: the root's arcs are the unigrams; a word v (or the begin of a text) that training has followers for is a state, with an
+arc for each word w that followed it, of log10 of (c(vw) - D) / c(v) + D T(v) / c(v) p(w), T(v) being its distinct followers, and
+a failure arc to the root of log10(D T(v) / c(v)); a pair uv is a state if words w followed it MIN_COUNT times or more, with arcs
+for these, of log10 of (c(uvw) - D) / c(uv) + b(uv) p(w | v), and a failure arc to v of log10 b(uv), where b(uv) is what the arcs
+leave of 1. The probabilities of all words after a state sum to 1.
+
+A text is traversed from left to right: from the state that the words so far lead to (the longest of their ends that is one), the
+arc of the next word is taken, or failure arcs are followed until a state has it. The state that a traversal carries to a
+position depends on the two words before alone, so all positions of a block are traversed at once, failure arc by failure arc.
+
+Counts are taken over all training documents, block by block. A block's texts are read once and stored as word numbers; sums by
+key (exchange.py) give each block what its texts can reach: first the counts of its words and pairs; then the followers of its
+words, from pairs that one block owns each, and the counts of its triples both of whose pairs occur MIN_COUNT times (no other triple
+can); then what its pairs' arcs hold, from triples that one block owns each. No task holds more than a block or a bucket, and
+nothing but two sums reaches the driver. Words are keyed by 64-bit hashes.
+
+Defined cases: null and empty texts are the end token alone; a null doc_id counts as the empty string when it is drawn for
+training; repeated rows and repeated ids count each; a text of any length is one row of its block; of equal keys any block may own
+one, which changes no sum; without training documents every token has the add-one probability; an empty table gives no rows;
+columns other than doc_id and text aren't looked at.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, block_table, n_blocks, saved
+from .common import LOWER, bucketed, in_blocks, n_blocks
+from .exchange import SENT, answered, answers, exchanged, mixed, of_round, packed, sent, totals, unpacked
 
-HOT, D = 1e-4, 0.75
-_END, _STEP = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
-_MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+#: The discount as a fraction, so that sums of discounted counts are whole numbers; a pair's arcs are words that followed it so often.
+D, MIN_COUNT = (3, 4), 2
 _U = np.uint64
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _MIX1
-    x = (x ^ (x >> _U(27))) * _MIX2
-    return x ^ (x >> _U(31))
-
-
-def _bucket(keys: np.ndarray, n: int) -> np.ndarray:
-    return ((_mixed(keys) >> _U(32)) * _U(n) >> _U(32)).astype(np.int64)
+_END, _BEGIN, _STEP, _TYPES = 0x9E3779B97F4A7C15, 0xA0761D6478BD642F, _U(0xD1342543DE82EF95), _U(0xE7037ED1A0B428DB)
+BLOCK = "part long, ids binary, nulls binary, held binary, lengths binary, tokens binary, words binary"
+
+
+def tokenized(table: pa.Table) -> pa.Table:
+    """A block's BLOCK row: its tokens as numbers of its distinct words, whose hashes are words; number 0 is the end."""
+    number: dict[bytes, int] = {b"": 0}  # no word is empty
+    parts, lengths = [], []
+    for t in table.column("text"):
+        w = t.as_py().translate(LOWER).split()
+        w.append(b"")
+        parts.append(np.fromiter([number.setdefault(x, len(number)) for x in w], np.int64, len(w)))
+        lengths.append(len(w))
+    ids, held = table.column("doc_id").to_pylist(), table.column("held_out").to_pylist()
+    words = np.fromiter((xxhash.xxh3_64_intdigest(w) if w else _END for w in number), _U, len(number))
+    row = {
+        "ids": np.array([i or 0 for i in ids], np.int64).tobytes(),
+        "nulls": np.array([i is None for i in ids], np.bool_).tobytes(),
+        "held": np.array(held, np.bool_).tobytes(),
+        "lengths": np.array(lengths, np.int64).tobytes(),
+        "tokens": packed(np.concatenate(parts)),
+        "words": words.tobytes(),
+    }
+    return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int64())} | {k: pa.array([v], pa.binary()) for k, v in row.items()})
 
 
 class Texts:
-    """A block's tokens as local word numbers, one array for all its documents; number 0 is the end."""
+    """A block's tokens and its distinct pairs. Word number n, after the words', stands for the begin of a text."""
 
     def __init__(self, table: pa.Table):
-        self.ids = table.column("doc_id").to_pylist()
-        self.held = np.array(table.column("held_out").to_pylist(), bool)
-        number: dict[bytes, int] = {b"": 0}  # no word is empty
-        parts, lengths = [], []
-        for t in table.column("text"):
-            w = t.as_py().translate(LOWER).split()
-            w.append(b"")
-            parts.append(np.fromiter([number.setdefault(x, len(number)) for x in w], np.int64, len(w)))
-            lengths.append(len(w))
-        self.tokens = np.concatenate(parts) if parts else np.empty(0, np.int64)
-        self.lengths = np.array(lengths, np.int64)
-        self.ends = np.cumsum(self.lengths)
+        get = lambda c, kind: np.frombuffer(table.column(c)[0].as_py(), kind)
+        self.part = table.column("part")[0].as_py()
+        self.ids, self.nulls, self.held, self.lengths, self.words = get("ids", np.int64), get("nulls", np.bool_), get("held", np.bool_), get("lengths", np.int64), get("words", _U)
+        self.tokens = unpacked(table.column("tokens")[0].as_py(), int(self.lengths.sum()))
+        self.n = len(self.words)
+        self.begins = np.cumsum(self.lengths) - self.lengths
         self.train = np.repeat(~self.held, self.lengths)
-        self.words = np.fromiter((xxhash.xxh3_64_intdigest(w) if w else _END for w in number), _U, len(number))
-
-    def counts(self) -> np.ndarray:
-        return np.bincount(self.tokens[self.train], minlength=len(self.words))
-
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The distinct pairs' first and second local words, and each token's pair. The first word of a text follows number len(words)."""
-        n = len(self.words)
         before = np.empty_like(self.tokens)
-        if len(before):
-            before[1:] = self.tokens[:-1]
-            before[np.append(0, self.ends[:-1])] = n
-        pairs, inverse = np.unique(before * (n + 1) + self.tokens, return_inverse=True)
-        return pairs // (n + 1), pairs % (n + 1), inverse
-
-
-def _packed(x: np.ndarray) -> bytes:
-    """Numbers in as few bytes as the largest needs, first bytes first, so that they compress."""
-    width = next(w for w in (1, 2, 4, 8) if w == 8 or not len(x) or x.max() < 1 << 8 * w)
-    return np.ascontiguousarray(x.astype(f"<u{width}")).view(np.uint8).reshape(-1, width).T.tobytes()
-
-
-def _unpacked(x: bytes, n: int) -> np.ndarray:
-    width = len(x) // n
-    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(width, n).T).view(f"<u{width}").ravel().astype(np.int64)
-
-
-def _slices(bucket: np.ndarray) -> dict[int, slice]:
-    used, begin = np.unique(bucket, return_index=True)
-    return {int(b): slice(i, j) for b, i, j in zip(used, begin, np.append(begin[1:], len(bucket)))}
-
-
-def _word_order(texts: Texts, n: int) -> tuple[np.ndarray, dict[int, slice]]:
-    """The order in which a block's words are sent, and each bucket's part of it."""
-    bucket = _bucket(texts.words, n)
-    order = np.lexsort((texts.words, bucket))
-    return order, _slices(bucket[order])
-
-
-def _hot_numbers(texts: Texts, hot: np.ndarray) -> np.ndarray:
-    """The number in hot of each local word and of the begin (which is the last), -1 for others."""
-    out = np.full(len(texts.words) + 1, -1, np.int64)
-    if len(hot):
-        at = np.minimum(np.searchsorted(hot, texts.words), len(hot) - 1)
-        out[:-1] = np.where(hot[at] == texts.words, at, -1)
-    out[-1] = len(hot)
-    return out
-
-
-def _pair_order(texts: Texts, first: np.ndarray, second: np.ndarray, hot: np.ndarray, n: int):
-    """As _word_order, for pairs, and the state of each pair: a hot one's number or its word's hash."""
-    number = _hot_numbers(texts, hot)[first]
-    is_hot, word = number >= 0, texts.words[second]
-    state = np.where(is_hot, number.astype(_U), np.append(texts.words, _U(0))[first])
-    bucket = _bucket(np.where(is_hot, _mixed(word + state * _U(_STEP)), state), n)
-    order = np.lexsort((word, state, bucket))
-    return order, _slices(bucket[order]), state
-
-
-def _runs(x: np.ndarray) -> np.ndarray:
-    """Where runs of equal values begin."""
-    return np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else np.empty(0, np.int64)
-
-
-SENT = "bucket long, part int, states binary, sizes binary, keys binary, counts binary"
-#: kind 0: totals of a block's words; 2: totals of its pairs, and the distinct followers of their states; 1: a bucket's sums
-#: (total, distinct) and its hot words, or the followers of hot states.
-ANSWER = "kind int, part int, bucket long, keys binary, counts binary, types binary, total long, n_distinct long"
-
-
-def _table(schema: str, rows: list[tuple]) -> pa.Table:
-    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
-    names, kinds = zip(*(c.split() for c in schema.split(", ")))
-    return pa.table({n: pa.array(c, types[k]) for n, k, c in zip(names, kinds, zip(*rows) if rows else [[]] * len(names))})
-
-
-def _sum_words(table: pa.Table) -> pa.Table:
-    """A bucket's answers: totals for each block, and words that have a share of HOT of its tokens (so all that have it of all)."""
-    parts, bucket = table.column("part").to_pylist(), table.column("bucket")[0].as_py()
-    keys = [np.frombuffer(x.as_py(), _U) for x in table.column("keys")]
-    counts = [_unpacked(x.as_py(), len(k)) for x, k in zip(table.column("counts"), keys)]
-    distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    totals = np.bincount(inverse, np.concatenate(counts), len(distinct)).astype(np.int64)
-    rows, at = [], 0
-    for part, k in zip(parts, keys):
-        rows.append((0, part, bucket, None, _packed(totals[inverse[at : at + len(k)]]), None, 0, 0))
-        at += len(k)
-    f = totals >= max(1, HOT * totals.sum())
-    rows.append((1, -1, bucket, distinct[f].tobytes(), totals[f].tobytes(), None, int(totals.sum()), int((totals > 0).sum())))
-    return _table(ANSWER, rows)
-
-
-def _sum_pairs(table: pa.Table, n_hot: int) -> pa.Table:
-    """A bucket's answers: totals and followers for each block, and what followers of hot states it has."""
-    parts, bucket = table.column("part").to_pylist(), table.column("bucket")[0].as_py()
-    keys = [np.frombuffer(x.as_py(), _U) for x in table.column("keys")]
-    counts = [_unpacked(x.as_py(), len(k)) for x, k in zip(table.column("counts"), keys)]
-    states = [np.frombuffer(x.as_py(), _U) for x in table.column("states")]
-    sizes = [_unpacked(x.as_py(), len(s)) for x, s in zip(table.column("sizes"), states)]
-    state, word = np.repeat(np.concatenate(states), np.concatenate(sizes)), np.concatenate(keys)
-    order = np.lexsort((word, state))
-    s, w = state[order], word[order]
-    new = np.append(True, (s[1:] != s[:-1]) | (w[1:] != w[:-1]))
-    inverse = np.empty(len(order), np.int64)
-    inverse[order] = np.cumsum(new) - 1
-    totals = np.bincount(inverse, np.concatenate(counts)).astype(np.int64)
-    s = s[new]
-    begin = _runs(s)
-    known, followers = s[begin], np.add.reduceat((totals > 0).astype(np.int64), begin)
-    rows, at = [], 0
-    for part, k, x in zip(parts, keys, states):
-        t = followers[np.searchsorted(known, x)]
-        rows.append((2, part, bucket, None, _packed(totals[inverse[at : at + len(k)]]), _packed(t), 0, 0))
-        at += len(k)
-    hot = known <= _U(n_hot)
-    rows.append((1, -1, bucket, known[hot].tobytes(), followers[hot].tobytes(), None, 0, 0))
-    return _table(ANSWER, rows)
-
-
-def _answers(answers: pa.Table, kind: int) -> Iterator[tuple[int, bytes, bytes]]:
-    for k, *row in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "counts", "types"))):
-        if k == kind:
-            yield tuple(row)
-
-
-def _word_totals(texts: Texts, answers: pa.Table, n: int) -> np.ndarray:
-    order, slices = _word_order(texts, n)
-    out = np.zeros(len(order), np.int64)
-    for bucket, counts, _ in _answers(answers, 0):
-        own = order[slices[bucket]]
-        out[own] = _unpacked(counts, len(own))
-    return out
-
-
-def score(docs: DataFrame, context: float = 0.0, discount: float = D) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row of docs (doc_id, text).
-
-    Words under a share of context of all training tokens have no state; by default all words that occur have one.
-    """
+        before[1:] = self.tokens[:-1]
+        before[self.begins] = self.n
+        pairs, self.pair = np.unique(before * (self.n + 1) + self.tokens, return_inverse=True)
+        self.first, self.second = pairs // (self.n + 1), pairs % (self.n + 1)
+        hashes = np.append(self.words, _U(_BEGIN))
+        self.histories = mixed(hashes ^ _TYPES) & ~_U(1)
+        self.pair_keys = mixed(hashes[self.first] * _STEP + self.words[self.second]) | _U(1)
+
+    def first_keys(self) -> np.ndarray:
+        """Words (even) and pairs (odd)."""
+        return np.concatenate([mixed(self.words) & ~_U(1), self.pair_keys])
+
+    def first_counts(self) -> np.ndarray:
+        count = lambda x, n: np.bincount(x[self.train], minlength=n)
+        return np.concatenate([count(self.tokens, self.n), count(self.pair, len(self.first))])
+
+    def read_first(self, got: dict) -> None:
+        sums, owned = answers(got, self.first_keys())
+        self.c1, self.c2, self.owned = sums[: self.n], sums[self.n :], owned[self.n :]
+        # positions whose triple can occur MIN_COUNT times: the pair before and their own do
+        often = self.c2 >= MIN_COUNT
+        inside = np.ones(len(self.tokens), bool)
+        inside[self.begins] = False
+        at = np.flatnonzero(inside)
+        at = at[often[self.pair[at - 1]] & often[self.pair[at]]]
+        triples, self.one, triple = np.unique(self.pair[at - 1] * (self.n + 1) + self.tokens[at], return_index=True, return_inverse=True)
+        self.history, word = triples // (self.n + 1), triples % (self.n + 1)
+        self.one = at[self.one]
+        self.triple = np.full(len(self.tokens), -1)
+        self.triple[at] = triple
+        self.triple_keys = mixed(self.pair_keys[self.history] * _STEP + self.words[word]) | _U(1)
+        #: pairs that may be states
+        self.asked = np.flatnonzero(often & (self.second != 0))
+
+    def second_keys(self) -> np.ndarray:
+        """Histories of one word (even) and triples (odd)."""
+        return np.concatenate([self.histories, self.triple_keys])
+
+    def second_counts(self) -> np.ndarray:
+        followers = np.bincount(self.first[self.owned], minlength=self.n + 1)
+        counted = self.triple[self.train & (self.triple >= 0)]
+        return np.concatenate([followers, np.bincount(counted, minlength=len(self.history))])
+
+    def read_second(self, got: dict) -> None:
+        sums, owned = answers(got, self.second_keys())
+        self.types, self.c3, self.owned3 = sums[: self.n + 1], sums[self.n + 1 :], owned[self.n + 1 :]
+
+    def held_by_arcs(self, d: tuple[int, int]) -> np.ndarray:
+        """Of the asked pairs: the discounted counts of the arcs that this block owns, times the discount's denominator."""
+        own = self.owned3 & (self.c3 >= MIN_COUNT)
+        held = np.bincount(self.history[own], (self.c3[own] * d[1] - d[0]).astype(np.float64), len(self.first))
+        return np.rint(held).astype(np.int64)[self.asked]
+
+
+def _scores(t: Texts, held: np.ndarray, total: int, distinct: int, d: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(the add-one log10 probability, the automaton's) of each token; held: what the asked pairs' arcs hold."""
+    discount = d[0] / d[1]
+    p1 = (t.c1 + 1) / (total + distinct + 1)
+    # states of one word: number 1 + word; the begin has occurred as often as the end
+    seen = np.append(t.c1, t.c1[0] if t.n else 0)
+    one = t.types > 0
+    back1 = np.where(one, discount * t.types / np.maximum(seen, 1), 1.0)
+    p2 = np.maximum(t.c2 - discount, 0) / np.maximum(seen[t.first], 1) + back1[t.first] * p1[t.second]
+    # states of two words: number n + 2 + pair
+    back2, two = np.ones(len(t.first)), np.zeros(len(t.first), bool)
+    back2[t.asked] = 1 - held / (d[1] * t.c2[t.asked])
+    two[t.asked] = held > 0
+    p3 = np.maximum(t.c3 - discount, 0) / t.c2[t.history] + back2[t.history] * p2[t.pair[t.one]]
+    with np.errstate(divide="ignore"):
+        root = np.log10(p1)
+        arcs2 = np.where(t.c2 > 0, np.log10(p2), np.nan)
+        arcs3 = np.append(np.where(t.c3 >= MIN_COUNT, np.log10(p3), np.nan), np.nan)  # the last one stands for no triple
+        fails = np.concatenate([[0.0], np.log10(back1), np.log10(back2)])
+    goes_to = np.concatenate([np.zeros(t.n + 2, np.int64), np.where(one[t.second], 1 + t.second, 0)])
+    # the state that is carried to each position: the longest history that is one
+    before = t.first[t.pair]
+    state = np.where(one[before], 1 + before, 0)
+    later = np.ones(len(t.tokens), bool)
+    later[t.begins] = False
+    at = np.flatnonzero(later)
+    at = at[two[t.pair[at - 1]]]
+    state[at] = t.n + 2 + t.pair[at - 1]
+    logs, todo = np.zeros(len(t.tokens)), np.arange(len(t.tokens))
+    while len(todo):
+        s = state[todo]
+        arc = np.where(s == 0, root[t.tokens[todo]], np.where(s < t.n + 2, arcs2[t.pair[todo]], arcs3[t.triple[todo]]))
+        taken = ~np.isnan(arc)
+        logs[todo[taken]] += arc[taken]
+        todo, s = todo[~taken], s[~taken]
+        logs[todo] += fails[s]
+        state[todo] = goes_to[s]
+    return root[t.tokens], logs
+
+
+def score(docs: DataFrame, discount: tuple[int, int] = D) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row of docs (doc_id, text)."""
     n = n_blocks(docs)
-    held = (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2).alias("held_out")
-    blocks = block_table(docs, n, [held])
-
-    def count_words(table: pa.Table) -> pa.Table:
-        texts, part = Texts(table), table.column("part")[0].as_py()
-        order, slices = _word_order(texts, n)
-        keys, counts = texts.words[order], texts.counts()[order]
-        return _table(SENT, [(b, part, None, None, keys[i].tobytes(), _packed(counts[i])) for b, i in slices.items()])
-
-    words = saved(blocks.groupBy("part").applyInArrow(count_words, SENT).groupBy("bucket").applyInArrow(_sum_words, ANSWER), "lm-words")
-    sums = words.where("kind = 1")
-    total, distinct = (x or 0 for x in sums.agg(F.sum("total"), F.sum("n_distinct")).first())
-
-    def above(batches):
-        for b in batches:
-            k = np.frombuffer(b"".join(x.as_py() for x in b.column(0)), np.int64)
-            c = np.frombuffer(b"".join(x.as_py() for x in b.column(1)), np.int64)
-            f = c >= max(1, HOT * total)
-            yield pa.RecordBatch.from_arrays([pa.array(k[f]), pa.array(c[f])], names=["k", "c"])
-
-    # at most 1 / HOT rows, whatever the corpus
-    found = sorted((r.k & (1 << 64) - 1, r.c) for r in sums.select("keys", "counts").mapInArrow(above, "k long, c long").collect())
-    n_texts = next((c for k, c in found if k == _END), None)
-    hot = np.array([k for k, _ in found if k != _END], _U)
-    if n_texts is None:  # few long texts: the end isn't hot
-        n_texts = docs.where(~held).count()
-
-    def count_pairs(table: pa.Table) -> pa.Table:
-        texts, part = Texts(table), table.column("part")[0].as_py()
-        first, second, inverse = texts.pairs()
-        order, slices, state = _pair_order(texts, first, second, hot, n)
-        own = np.bincount(inverse[texts.train], minlength=len(first))[order]
-        state, keys = state[order], texts.words[second[order]]
-        rows = []
-        for b, i in slices.items():
-            s = state[i]
-            begin = _runs(s)
-            rows.append((b, part, s[begin].tobytes(), _packed(np.diff(np.append(begin, len(s)))), keys[i].tobytes(), _packed(own[i])))
-        return _table(SENT, rows)
-
-    n_hot = len(hot)
-    sum_pairs = lambda table: _sum_pairs(table, n_hot)
-    pairs = saved(blocks.groupBy("part").applyInArrow(count_pairs, SENT).groupBy("bucket").applyInArrow(sum_pairs, ANSWER), "lm-pairs")
-
-    def listed(batches):
-        for b in batches:
-            sums: dict[int, int] = {}
-            for x, y in zip(b.column(0), b.column(1)):
-                for s, c in zip(np.frombuffer(x.as_py(), np.int64).tolist(), np.frombuffer(y.as_py(), np.int64).tolist()):
-                    sums[s] = sums.get(s, 0) + c
-            yield pa.RecordBatch.from_arrays([pa.array(sums.keys(), pa.int64()), pa.array(sums.values(), pa.int64())], names=["s", "c"])
-
-    per_state = pairs.where("kind = 1").select("keys", "counts").mapInArrow(listed, "s long, c long")
-    hot_types = np.zeros(n_hot + 1, np.int64)
-    for r in per_state.groupBy("s").agg(F.sum("c").alias("c")).collect():  # a row for each hot state at most
-        hot_types[r.s] = r.c
-
-    def scored(table: pa.Table, answers: pa.Table) -> pa.Table:
-        texts = Texts(table)
-        c = _word_totals(texts, answers, n)
-        p = (c + 1) / (total + distinct + 1)
-        unigram = np.log10(p)
-        first, second, inverse = texts.pairs()
-        order, slices, state = _pair_order(texts, first, second, hot, n)
-        followed, types = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
-        for bucket, counts, followers in _answers(answers, 2):
-            own = order[slices[bucket]]
-            followed[own] = _unpacked(counts, len(own))
-            begin = _runs(state[own])
-            types[own] = np.repeat(_unpacked(followers, len(begin)), np.diff(np.append(begin, len(own))))
-        number = _hot_numbers(texts, hot)[first]
-        types = np.where(number >= 0, hot_types[number], types)
-        begins_text = first == len(texts.words)
-        seen = np.where(begins_text, n_texts, np.append(c, 0)[first])
-        there = begins_text | (seen >= max(1, context * total))
-        seen = np.maximum(seen, 1)
-        back = np.where(there & (types > 0), discount * types / seen, 1.0)
-        logs = np.log10(np.where(there, np.maximum(followed - discount, 0) / seen, 0) + back * p[second])[inverse]
-        begins = np.append(0, texts.ends[:-1]) if len(texts.ends) else texts.ends
-        per = lambda x: np.add.reduceat(x, begins) if len(begins) else x
+    held_out = (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2).alias("held_out")
+    stored = in_blocks(docs, n, [held_out]).groupBy("part").applyInArrow(tokenized, BLOCK)
+    blocks = bucketed(stored, n).groupBy("part")
+
+    def send_first(block: pa.Table) -> pa.Table:
+        t = Texts(block)
+        return sent(t.part, t.first_keys(), t.first_counts(), n)
+
+    first = exchanged(blocks.applyInArrow(send_first, SENT), n, "lm-words")
+    total, distinct = totals(first)
+
+    def send_second(block: pa.Table, got: pa.Table) -> pa.Table:
+        t = Texts(block)
+        t.read_first(of_round(got, 0))
+        return sent(t.part, t.second_keys(), t.second_counts(), n)
+
+    second = exchanged(blocks.cogroup(answered([first], n).groupBy("to")).applyInArrow(send_second, SENT), n, "lm-triples")
+
+    def send_third(block: pa.Table, got: pa.Table) -> pa.Table:
+        t = Texts(block)
+        t.read_first(of_round(got, 0))
+        t.read_second(of_round(got, 1))
+        return sent(t.part, t.pair_keys[t.asked], t.held_by_arcs(discount), n)
+
+    third = exchanged(blocks.cogroup(answered([first, second], n).groupBy("to")).applyInArrow(send_third, SENT), n, "lm-arcs")
+
+    def scored(block: pa.Table, got: pa.Table) -> pa.Table:
+        t = Texts(block)
+        t.read_first(of_round(got, 0))
+        t.read_second(of_round(got, 1))
+        held, _ = answers(of_round(got, 2), t.pair_keys[t.asked])
+        base, logs = _scores(t, held, total, distinct, discount)
+        per = lambda x: np.add.reduceat(x, t.begins)
         return pa.table(
             {
-                "doc_id": pa.array(texts.ids, pa.int64()),
-                "held_out": pa.array(texts.held),
-                "n_tokens": pa.array(texts.lengths),
-                "n_known": pa.array(per((c[texts.tokens] > 0).astype(np.int64))),
-                "train_tokens": pa.array([total] * len(texts.ids), pa.int64()),
-                "base_score": pa.array(per(unigram[texts.tokens])),
+                "doc_id": pa.array(t.ids, pa.int64(), mask=t.nulls),
+                "held_out": pa.array(t.held),
+                "n_tokens": pa.array(t.lengths),
+                "n_known": pa.array(per((t.c1[t.tokens] > 0).astype(np.int64))),
+                "train_tokens": pa.array(np.full(len(t.ids), total)),
+                "base_score": pa.array(per(base)),
                 "score": pa.array(per(logs)),
             }
         )
 
-    both = words.where("kind = 0").unionByName(pairs.where("kind = 2"))
-    return (
-        blocks.groupBy("part")
-        .cogroup(both.groupBy("part"))
-        .applyInArrow(
-            lambda left, right: scored(left, right),
-            "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
-        )
+    return blocks.cogroup(answered([first, second, third], n).groupBy("to")).applyInArrow(
+        scored, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )

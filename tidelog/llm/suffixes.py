@@ -267,7 +267,7 @@ def _dealt(part: int, bucket: np.ndarray, columns: dict[str, list]) -> pa.Table:
     groups = np.split(order, begin[1:]) if len(used) else []
     blob = lambda v, g: v[g].tobytes() if isinstance(v, np.ndarray) else b"".join([v[i] for i in g])
     return pa.table(
-        {"bucket": pa.array(used, pa.int64()), "part": pa.array([part] * len(used), pa.int32())}
+        {"bucket": pa.array(used, pa.int64()), "part": pa.array([part] * len(used), pa.int64())}
         | {k: pa.array([blob(v, g) for g in groups], pa.binary()) for k, v in columns.items()}
     )
 
@@ -278,10 +278,10 @@ def _arrays(column, kind) -> list[np.ndarray]:
 
 def _answer(rows: list[tuple]) -> pa.Table:
     cols = list(zip(*rows)) if rows else [[]] * 4
-    return pa.table({k: pa.array(c, t) for k, c, t in zip(("part", "keys", "sizes", "docs"), cols, (pa.int32(), pa.binary(), pa.binary(), pa.binary()))})
+    return pa.table({k: pa.array(c, t) for k, c, t in zip(("part", "keys", "sizes", "docs"), cols, (pa.int64(), pa.binary(), pa.binary(), pa.binary()))})
 
 
-ANSWER = "part int, keys binary, sizes binary, docs binary"
+ANSWER = "part long, keys binary, sizes binary, docs binary"
 
 
 def _shared_names(table: pa.Table) -> pa.Table:
@@ -396,7 +396,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
 
     shared = saved(
         blocks.groupBy("part")
-        .applyInArrow(send_names, "bucket long, part int, names binary, low binary, high binary")
+        .applyInArrow(send_names, "bucket long, part long, names binary, low binary, high binary")
         .groupBy("bucket")
         .applyInArrow(_shared_names, ANSWER),
         "suffix-names",
@@ -431,7 +431,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     smallest = saved(
         blocks.groupBy("part")
         .cogroup(shared.groupBy("part"))
-        .applyInArrow(send_contexts, "bucket long, part int, names binary, keys binary, windows binary, docs binary, more binary, bytes binary")
+        .applyInArrow(send_contexts, "bucket long, part long, names binary, keys binary, windows binary, docs binary, more binary, bytes binary")
         .groupBy("bucket")
         .applyInArrow(_smallest, ANSWER),
         "suffix-contexts",
