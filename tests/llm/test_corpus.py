@@ -116,6 +116,20 @@ def test_lm_rare_histories(spark):
         assert got[i].score == pytest.approx(model(w), rel=1e-9)
 
 
+def test_packed_numbers():
+    from tidelog.llm import exchange
+
+    r = np.random.default_rng(1)
+    for top in (1, 255, 256, 1 << 24, 1 << 47, 1 << 62):
+        x = r.integers(0, top, 1000, endpoint=True)
+        assert (exchange.unpacked(exchange.packed(x), 1000) == x).all()
+    size = np.array([3, 1, 500, 1])
+    keys = np.concatenate([np.sort(r.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2)) for n in size])
+    code = exchange._packed_keys(keys, size)
+    assert (exchange._unpacked_keys(code, size) == keys).all()
+    assert len(exchange.unpacked(exchange.packed(keys[:0]), 0)) == 0
+
+
 def test_messages_grow_with_the_keys():
     """A block sends no more rows than ranges, whatever the number of buckets, and no more pieces than keys."""
     from tidelog.llm import exchange

@@ -79,7 +79,7 @@ def in_blocks(docs: DataFrame, n: int, extra: list | None = None) -> DataFrame:
 
 
 def bucketed(rows: DataFrame, n: int) -> DataFrame:
-    """rows (with a part below n), stored once as a table bucketed by part, so that later passes over the blocks don't shuffle them.
+    """rows (dealt by part as in_blocks does it), stored once as a table bucketed by part, so that later passes over the blocks don't shuffle them.
 
     A bucket holds one block, or several where there are more than MAX_BUCKETS. The files lie in the shared folder; the session's
     catalog names them until drop_block_tables().
@@ -87,7 +87,7 @@ def bucketed(rows: DataFrame, n: int) -> DataFrame:
     spark = rows.sparkSession
     name, n = f"tidelog_blocks_{uuid.uuid4().hex}", min(n, MAX_BUCKETS)
     _tables.setdefault(spark, []).append(name)
-    rows.repartition(n, "part").write.option("compression", "zstd").option("path", fresh_path(spark, "blocks")).bucketBy(n, "part").saveAsTable(name)
+    rows.write.option("compression", "zstd").option("path", fresh_path(spark, "blocks")).bucketBy(n, "part").saveAsTable(name)
     return spark.table(name)
 
 

@@ -5,7 +5,7 @@ keys in order, in pieces of one bucket each; a bucket answers each piece with a
 travels back and an answer of a byte is common. Of the blocks that sent a key with a number above 0, one owns it, so that each
 distinct key is counted once where something is to be summed up over distinct keys.
 
-Rows hold the pieces for one of at most FAN ranges of destinations. Up to FAN blocks a range is one bucket (or one block). Beyond
+Keys of a piece are sent as distances, in as few bytes as they need. Rows hold the pieces for one of at most FAN ranges of destinations. Up to FAN blocks a range is one bucket (or one block). Beyond
 that a second shuffle splits each range into its destinations, whose pieces are put together from SPLIT bytes at a time. So the
 rows that travel grow with the data, not with blocks times buckets. A key of a third of all documents is one entry a block.
 """
@@ -42,13 +42,35 @@ def runs(x: np.ndarray) -> np.ndarray:
 
 def packed(x: np.ndarray) -> bytes:
     """Numbers in as few bytes as the largest needs, first bytes first, so that they compress."""
-    width = next(w for w in (1, 2, 4, 8) if w == 8 or not len(x) or x.max() < 1 << 8 * w)
-    return np.ascontiguousarray(x.astype(f"<u{width}")).view(np.uint8).reshape(-1, width).T.tobytes()
+    width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+    return np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
 def unpacked(x: bytes, n: int) -> np.ndarray:
-    width = len(x) // max(n, 1)
-    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(width, n).T).view(f"<u{width}").ravel().astype(np.int64) if n else np.empty(0, np.int64)
+    if not n:
+        return np.empty(0, np.int64)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, : len(x) // n] = np.frombuffer(x, np.uint8).reshape(-1, n).T
+    return out.view("<u8").ravel().view(np.int64)
+
+
+def _packed_keys(keys: np.ndarray, size: np.ndarray) -> bytes:
+    """Sorted keys of pieces: the first one of each, and the distances of the others."""
+    begin = np.cumsum(size) - size
+    step = np.diff(keys, prepend=_U(0))
+    return keys[begin].tobytes() + packed(np.delete(step, begin))
+
+
+def _unpacked_keys(x: bytes, size: np.ndarray) -> np.ndarray:
+    begin, n = np.cumsum(size) - size, int(size.sum())
+    step = np.empty(n, _U)
+    first = np.zeros(n, bool)
+    first[begin] = True
+    step[begin] = np.frombuffer(x, _U, len(size))
+    step[~first] = unpacked(x[8 * len(size) :], n - len(size)).view(_U)
+    sums = np.cumsum(step, dtype=_U)
+    # modulo 2 ** 64, so that what came before a piece can be taken off
+    return sums - np.repeat(sums[begin] - step[begin], size)
 
 
 def _inside(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -71,15 +93,18 @@ def _rows(to: np.ndarray, dest: np.ndarray, frm: np.ndarray, size: np.ndarray, k
     begin, at = runs(to), np.append(0, np.cumsum(size))
     for i, j in zip(begin, np.append(begin[1:], len(to))):
         s = slice(at[i], at[j])
-        yield int(to[i]), dest[i:j].astype(np.int64).tobytes(), frm[i:j].astype(np.int64).tobytes(), size[i:j].astype(np.int32).tobytes(), keys[s].tobytes(), packed(vals[s])
+        code = _packed_keys(keys[s], size[i:j]) if len(keys) else b""
+        yield int(to[i]), dest[i:j].astype(np.int64).tobytes(), frm[i:j].astype(np.int64).tobytes(), size[i:j].astype(np.int32).tobytes(), code, packed(vals[s])
 
 
 def _pieces(columns: dict[str, list]) -> tuple[np.ndarray, ...]:
     """dest, frm, size, keys and vals of all rows' pieces."""
     join = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in columns[name]] or [np.empty(0, kind)])
-    size = join("size", np.int32).astype(np.int64)
-    vals = [unpacked(v, int(np.frombuffer(s, np.int32).sum())) for v, s in zip(columns["vals"], columns["size"])]
-    return join("dest", np.int64), join("frm", np.int64), size, join("keys", _U), np.concatenate(vals or [np.empty(0, np.int64)])
+    sizes = [np.frombuffer(s, np.int32).astype(np.int64) for s in columns["size"]]
+    vals = [unpacked(v, int(s.sum())) for v, s in zip(columns["vals"], sizes)]
+    keys = [_unpacked_keys(k, s) for k, s in zip(columns["keys"], sizes) if k]
+    flat = lambda x, kind: np.concatenate(x or [np.empty(0, kind)])
+    return join("dest", np.int64), join("frm", np.int64), flat(sizes, np.int64), flat(keys, _U), flat(vals, np.int64)
 
 
 def sent(part: int, keys: np.ndarray, vals: np.ndarray, n: int) -> pa.Table:
