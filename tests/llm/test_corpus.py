@@ -174,6 +174,19 @@ def test_suffixes(spark, docs, empty, nulls):
     assert suffixes.suffix_dedup(empty).count() == 0 and suffixes.suffix_dedup(nulls).count() == 3
 
 
+def test_suffixes_in_more_blocks_than_buckets(spark, docs, monkeypatch):
+    """More blocks than a block table's buckets and a message's ranges give the same rows."""
+    from tidelog.llm import common, exchange
+
+    cols = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    bag = lambda: collections.Counter(tuple(r[c] for c in cols) for r in suffixes.suffix_dedup(docs).collect())
+    want = bag()
+    monkeypatch.setattr(common, "MIN_BLOCKS", 9)
+    monkeypatch.setattr(common, "MAX_BUCKETS", 4)
+    monkeypatch.setattr(exchange, "FAN", 2)
+    assert bag() == want
+
+
 def test_suffixes_in_pieces(monkeypatch):
     """Runs don't depend on how a long text is cut into pieces: the same windows get the same names."""
     r = np.random.default_rng(2)

@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, discard, saved
+from .exchange import mixed
 
 WIDTH, BANDS, ROWS = 5, 32, 4
 M = BANDS * ROWS
@@ -51,16 +52,10 @@ MIN_SIMILARITY = (4, 5)
 #: Elements whose processes are run at once, and words of at most LONGEST bytes that a worker remembers.
 BATCH, REMEMBERED, LONGEST = 1 << 17, 1 << 19, 64
 _U = np.uint64
-_MIX1, _MIX2, _STEP = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB), 0x9E3779B97F4A7C15
+_STEP = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _MIX1
-    x = (x ^ (x >> _U(27))) * _MIX2
-    return x ^ (x >> _U(31))
-
-
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
@@ -80,7 +75,7 @@ def shingles(text: bytes, known: _Words, width: int = WIDTH) -> tuple[np.ndarray
     k = min(width, len(h))
     out = np.zeros(len(h) - k + 1, _U)
     for i in range(k):
-        out = _mixed(out * _U(_STEP) + h[i : i + len(out)])
+        out = mixed(out * _U(_STEP) + h[i : i + len(out)])
     return np.unique(out + _U(k), return_counts=True)
 
 
@@ -103,13 +98,13 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], m: int = M) -> np.ndar
     doc, item, weight, level = map(np.concatenate, (docs, items, weights, levels))
     low = np.where(level > 0, 1 << np.maximum(level - 1, 0), 0).astype(np.float64)
     length = np.maximum(low, 1.0)
-    seed = _mixed(item + _mixed(level.astype(_U) + _U(1)))
+    seed = mixed(item + mixed(level.astype(_U) + _U(1)))
     time, n = np.zeros(len(doc)), 0
     while len(doc):
         n += 1
-        x = _mixed(seed + _U(n * _STEP & _MASK))
+        x = mixed(seed + _U(n * _STEP & _MASK))
         time = time - np.log(((x >> _U(11)).astype(np.float64) + 0.5) / (1 << 53)) / length
-        y = _mixed(x + _U(_STEP))
+        y = mixed(x + _U(_STEP))
         place = low + (y >> _U(32)).astype(np.float64) / (1 << 32) * length
         latest = sig.max(1)
         live = time <= latest[doc]
@@ -126,7 +121,7 @@ def band_keys(sig: np.ndarray, bands: int = BANDS) -> np.ndarray:
     x = sig.view(_U).reshape(len(sig), bands, -1)
     out = np.arange(bands, dtype=_U)[None, :] + np.zeros((len(sig), 1), _U)
     for i in range(x.shape[2]):
-        out = _mixed(out * _U(_STEP) + x[:, :, i])
+        out = mixed(out * _U(_STEP) + x[:, :, i])
     return out.view(np.int64)
 
 

@@ -4,8 +4,9 @@ Every LENGTH-byte window of a text is named by the least hash of the K-byte
 strings in it; equal windows have equal names wherever they stand. Neighbouring
 windows of one name form a run, whose bytes are its context.
 
-1. A block of documents sends its distinct names to buckets; a bucket answers
-   which names occur in several documents.
+1. A block of documents sends its distinct names, each with its number of
+   documents, and gets the sums over all blocks (exchange.py): names with a sum of
+   one stand in one document.
 2. The block sends the contexts of runs with such names, each once with its
    smallest document, to the name's bucket. There, equal contexts are joined. The
    windows of names that have several contexts are suffix-sorted, so that equal
@@ -21,8 +22,10 @@ common extension, found by binary search over prefix polynomial hashes
 limit, the bytes are compared, so that a collision can't join different windows.
 
 Defined cases: null and empty texts have no bytes; a null doc_id ranks after all
-others; rows that repeat an id aren't smaller than each other; matches never
-cross documents; texts may be of any length; an empty table gives no rows.
+others; rows that repeat an id aren't smaller than each other; of equal windows in
+documents of the smallest id none goes; matches never cross documents; texts may
+be of any length; an empty table gives no rows; columns other than doc_id and text
+aren't looked at.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import block_table, n_blocks, saved
+from .exchange import SENT, answered, answers, exchanged, mixed, of_round, sent
 
 LENGTH, K = 50, 26
 #: Windows of one run at most, and positions hashed at once.
@@ -43,16 +47,9 @@ BLOCK = 4 << 20
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_MIX1, _MIX2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 _LAST = np.iinfo(np.int64).max
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _MIX1
-    x = (x ^ (x >> _U(27))) * _MIX2
-    return x ^ (x >> _U(31))
-
-
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.empty(n, _U)
     out[0], made = 1, 1
@@ -101,7 +98,7 @@ def runs(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, k: int = K) -
         piece = data[c0 : c0 + CHUNK + length - 1]
         h = prefix_hashes(piece)
         _, down = powers(len(piece) + 1)
-        grams = _mixed((h[k:] - h[:-k]) * down[: len(piece) - k + 1])
+        grams = mixed((h[k:] - h[:-k]) * down[: len(piece) - k + 1])
         name = _least(grams, length - k + 1)
         n = len(name)
         change = np.zeros(n + 1, np.int32)
@@ -238,6 +235,15 @@ class Block:
         self.names, self.first, self.windows = runs(self.data, self.ends)
         self.docs = self.rank[np.searchsorted(self.ends, self.first, "right")]
 
+    def distinct_names(self) -> tuple[np.ndarray, np.ndarray]:
+        """The block's distinct names in order, and how many documents have each."""
+        order = np.lexsort((self.docs, self.names))
+        names, docs = self.names[order], self.docs[order]
+        new = np.append(True, names[1:] != names[:-1])[: len(names)]
+        begin = np.flatnonzero(new)
+        another = new | np.append(True, docs[1:] != docs[:-1])[: len(names)]
+        return names[begin], np.add.reduceat(another.astype(np.int64), begin) if len(begin) else begin
+
     def narrowed(self, at: np.ndarray) -> None:
         self.names, self.first, self.windows, self.docs = self.names[at], self.first[at], self.windows[at], self.docs[at]
 
@@ -251,13 +257,13 @@ class Block:
             piece = self.data[c : c + CHUNK + LENGTH + RUN]
             h, (_, down) = prefix_hashes(piece), powers(len(piece) + 1)
             a, b = self.first[i] - c, end[i] - c
-            out[i] = _mixed(((h[b] - h[a]) * down[a]) ^ _mixed(self.names[i] + self.windows[i].astype(_U)))
+            out[i] = mixed(((h[b] - h[a]) * down[a]) ^ mixed(self.names[i] + self.windows[i].astype(_U)))
         return out
 
 
 def _bucket(names: np.ndarray, n: int) -> np.ndarray:
     # names are minima and so crowd near 0: deal them by another hash
-    return ((_mixed(names + _U(1)) >> _U(32)) * _U(n) >> _U(32)).astype(np.int64)
+    return ((mixed(names + _U(1)) >> _U(32)) * _U(n) >> _U(32)).astype(np.int64)
 
 
 def _dealt(part: int, bucket: np.ndarray, columns: dict[str, list]) -> pa.Table:
@@ -284,22 +290,6 @@ def _answer(rows: list[tuple]) -> pa.Table:
 ANSWER = "part long, keys binary, sizes binary, docs binary"
 
 
-def _shared_names(table: pa.Table) -> pa.Table:
-    """Which of each block's names stand in several documents. A block sends a name's documents' least and greatest ids."""
-    names, low, high = (_arrays(table.column(k), t) for k, t in (("names", _U), ("low", np.int64), ("high", np.int64)))
-    distinct, inverse = np.unique(np.concatenate(names), return_inverse=True)
-    least, most = np.full(len(distinct), _LAST), np.full(len(distinct), -_LAST - 1)
-    np.minimum.at(least, inverse, np.concatenate(low))
-    np.maximum.at(most, inverse, np.concatenate(high))
-    shared, at, rows = (least < most)[inverse], 0, []
-    for part, x in zip(table.column("part").to_pylist(), names):
-        keep = x[shared[at : at + len(x)]]
-        at += len(x)
-        if len(keep):
-            rows.append((part, keep.tobytes(), b"", b""))
-    return _answer(rows)
-
-
 def _slices(order: np.ndarray, names: np.ndarray, size: np.ndarray):
     """order, in pieces of about CHUNK bytes that hold whole names."""
     if len(order):
@@ -393,28 +383,18 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     blocks = block_table(docs, n)
 
     def send_names(table: pa.Table) -> pa.Table:
-        b = Block(table)
-        order = np.argsort(b.names, kind="stable")
-        names, docs_ = b.names[order], b.docs[order]
-        begin = np.flatnonzero(np.append(True, names[1:] != names[:-1])) if len(names) else np.empty(0, np.int64)
-        low, high = (np.minimum.reduceat(docs_, begin), np.maximum.reduceat(docs_, begin)) if len(begin) else (begin, begin)
-        names = names[begin]
-        return _dealt(table.column("part")[0].as_py(), _bucket(names, n), {"names": names, "low": low, "high": high})
-
-    shared = saved(
-        blocks.groupBy("part")
-        .applyInArrow(send_names, "bucket long, part long, names binary, low binary, high binary")
-        .groupBy("bucket")
-        .applyInArrow(_shared_names, ANSWER),
-        "suffix-names",
-    )
+        names, documents = Block(table).distinct_names()
+        return sent(table.column("part")[0].as_py(), mixed(names), documents, n)
+
+    shared = exchanged(blocks.groupBy("part").applyInArrow(send_names, SENT), n, "suffix-names")
 
     def send_contexts(left: pa.Table, right: pa.Table) -> pa.Table:
         columns = ("names", "keys", "windows", "docs", "more", "bytes")
-        names = np.sort(_joined(right, "keys", _U))
-        if not left.num_rows or not len(names):
-            return _dealt(0, np.empty(0, np.int64), {k: [] for k in columns})
         b = Block(left)
+        names, _ = b.distinct_names()
+        names = names[answers(of_round(right, 0), mixed(names))[0] > 1]
+        if not len(names):
+            return _dealt(0, np.empty(0, np.int64), {k: [] for k in columns})
         b.narrowed(np.flatnonzero(names[np.minimum(np.searchsorted(names, b.names), len(names) - 1)] == b.names))
         keys = b.keys()
         order = np.lexsort((b.docs, keys))
@@ -437,7 +417,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
 
     smallest = saved(
         blocks.groupBy("part")
-        .cogroup(shared.groupBy("part"))
+        .cogroup(answered([shared], n).groupBy("to"))
         .applyInArrow(send_contexts, "bucket long, part long, names binary, keys binary, windows binary, docs binary, more binary, bytes binary")
         .groupBy("bucket")
         .applyInArrow(_smallest, ANSWER),
