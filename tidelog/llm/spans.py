@@ -129,7 +129,8 @@ _LAST = (1 << 63) - 1
 def _removals(docs: DataFrame, extend: bool) -> DataFrame:
     """doc and, for its spans with a copy elsewhere or before, their hashes: later (all go) and twice (all but the first go)."""
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.col("text").cast("binary").alias("text"))
-    spans = keyed.mapInArrow(lambda batches: _emit(batches, extend), "h long, g int, doc long, again boolean")
+    # saved, so that texts are split once for both passes over the spans
+    spans = saved(keyed.mapInArrow(lambda batches: _emit(batches, extend), "h long, g int, doc long, again boolean"), "spans")
     groups = spans.groupBy("h", "g").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n"))
     repeated = saved(groups.where("n > 1").drop("n"), "repeated-spans")
     gone = spans.join(repeated, ["h", "g"]).where("doc > first or again")
