@@ -199,6 +199,15 @@ def test_spans(spark, docs, nulls, empty):
     assert bag(spans.dedup_spans(nulls), "doc_id", "n_removed") == {(None, 0): 2, (1, 0): 1}
 
 
+def test_spans_of_rows_without_ids_and_of_one_sentence(spark):
+    """Rows without ids are one document, after all others; a single sentence is in no run."""
+    a, b = ("".join(f"{x} words of sentence {i} are here. " for i in range(4)) for x in "ab")
+    one = "a single sentence of well over ten words that some documents have in common."
+    texts = [(None, a), (None, a), (None, b), (7, b), (3, one), (4, one), (5, one)]
+    got = bag(spans.dedup_spans(spark.createDataFrame(texts, "doc_id long, text string"), extend=True), "doc_id", "n_sentences", "n_removed", "text")
+    assert got == {(None, 4, 0, a): 2, (None, 4, 4, ""): 1, (7, 4, 0, b): 1, **{(i, 1, 0, one): 1 for i in (3, 4, 5)}}
+
+
 def test_spans_in_long_sentences(spark):
     """A passage without .!? is found behind lead-ins of any length, all but the words at its ends."""
     passage = " ".join(f"w{i * i * 7919 % 1009}" for i in range(500))

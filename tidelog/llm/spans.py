@@ -17,8 +17,11 @@ so that short common sentences stay. Of scripts without spaces between words
 (Han, Kana, Thai, Lao, Khmer, Burmese) each character counts as a word.
 
 Defined cases: null text stays null and has no sentences; a null doc_id ranks
-after all others; rows that repeat an id count as one document, each is cleaned;
-texts may be empty or of any length; an empty table gives an empty one.
+after all others; rows that repeat an id, or have none, count as one document:
+each is cleaned by itself, and what only they share stays in all of them; a text
+of one sentence has no run and stays; texts may be empty or of any length; an
+empty table gives an empty one; columns other than doc_id and text aren't looked
+at, whatever their names.
 """
 
 from __future__ import annotations
