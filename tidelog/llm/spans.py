@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from .common import LOWER, saved
 
 SPAN, MIN_WORDS, LONGEST, REACH = 2, 10, 24, 4
-_END = re.compile(rb"(?<=[.!?])[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*")
+_END = re.compile(rb"[.!?\n](?:(?<=\n)[\x20\x09-\x0D]*|[\x20\x09-\x0D]+)")
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
 #: A character of a script without spaces between words.
 _ALONE = rb"(?:\xE0[\xB8-\xBB][\x80-\xBF]|\xE1[\x80-\x82\x9E\x9F][\x80-\xBF]|[\xE3-\xE9][\x80-\xBF]{2}|\xEF[\xA4-\xAB][\x80-\xBF]|\xF0[\xA0-\xB3][\x80-\xBF]{2})"
@@ -53,7 +53,7 @@ def _words(part: bytes) -> list[bytes]:
 def _cuts(words: list[bytes]) -> list[int]:
     """How many words of a long sentence stand before each of its cuts."""
     h = [xxhash.xxh32_intdigest(a + b" " + b) for a, b in zip(words, words[1:])]
-    return [j + 2 for j in range(REACH, len(h) - REACH) if h[j] == min(h[j - REACH : j + REACH + 1])]
+    return [j + 2 for j in range(REACH, len(h) - REACH) if h[j - 1] >= h[j] <= h[j + 1] and h[j] == min(h[j - REACH : j + REACH + 1])]
 
 
 def sentences(text: bytes) -> list[tuple[bytes, list[bytes]]]:
