@@ -50,7 +50,7 @@ M = BANDS * ROWS
 #: Similarity as a fraction, so that it is compared in integers.
 MIN_SIMILARITY = (4, 5)
 #: Elements whose processes are run at once, and words of at most LONGEST bytes that a worker remembers.
-BATCH, REMEMBERED, LONGEST = 1 << 17, 1 << 19, 64
+BATCH, REMEMBERED, LONGEST = 1 << 17, 1 << 17, 64
 _U = np.uint64
 _STEP = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1

@@ -39,8 +39,8 @@ CAPACITY = 2048
 MIN_FILL = 0.98
 #: Classes beyond this one share its bins' handling: their tiny pieces are laid end to end with the unfinished bins.
 LAST_CLASS = 64
-#: Words of at most LONGEST bytes that a worker remembers before it starts anew.
-REMEMBERED, LONGEST = 1 << 20, 64
+#: Words of at most LONGEST bytes that a worker remembers before it starts anew: about 100 MB with their ids.
+REMEMBERED, LONGEST = 1 << 17, 64
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
