@@ -43,6 +43,11 @@ def test_positions(spark):
     assert tuple(r) == ((1 << 64) - 1, True, None, "1/1A")
 
 
+def test_positions_with_long_halves(spark):
+    r = one(spark, lsn_number(F.lit("0/100000010")), lsn_number(F.lit("2/100000001")), lsn_number(F.lit("100000001/0")), lsn_number(F.lit("0/10000000000000000")))
+    assert tuple(r) == ((1 << 32) + 16, 3 * (1 << 32) + 1, 1 << 32, None)
+
+
 def test_names(spark):
     lit = F.lit
     r = one(

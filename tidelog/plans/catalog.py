@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions import names
 from tidelog.functions.backoff import engine_backoff, publisher_backoff
-from tidelog.functions.lsn import checkpoint_position, lsn_number, lsn_text, start_position
+from tidelog.functions.lsn import checkpoint_position, lsn_halves, lsn_number, lsn_text, start_position
 from tidelog.functions.times import change_time
 from tidelog.operators import metrics, replay
 from tidelog.operators import publish as pub
@@ -516,9 +516,8 @@ SELECT ordinal, concat(hex(ordinal * 3), '/', hex(ordinal * 7919)) AS lsn, CAST(
        CASE WHEN ordinal % 10 = 0 THEN '0' ELSE CAST(CAST(ordinal * 3 AS HUGEINT) * 4294967296 + ordinal * 7919 AS VARCHAR) END AS start_at FROM w
 """)
 def cdc_lsn_roundtrip(spark, sf_dir):
-    o = F.col("ordinal").cast("decimal(20,0)")
-    n = (o * 3 * 4294967296 + o * 7919).cast("decimal(20,0)")
-    rows = log_of(spark, sf_dir).select("ordinal", lsn_text(n).alias("lsn"))
+    """Positions given by their halves; from ordinal 542,363 on the low one has nine digits, which are read as they stand."""
+    rows = log_of(spark, sf_dir).select("ordinal", lsn_halves(F.col("ordinal") * 3, F.col("ordinal") * 7919).alias("lsn"))
     given = F.when(F.col("ordinal") % 10 == 0, F.lit("not a position")).otherwise(F.col("lsn"))
     return rows.select("ordinal", "lsn", lsn_number(F.col("lsn")).cast("string").alias("number"), start_position(given).cast("string").alias("start_at"))
 
