@@ -20,7 +20,7 @@ def large_ids(spark, tmp_path_factory):
     return str(top)
 
 
-@pytest.mark.parametrize("name", ["cdc_lsn_roundtrip", "stream_ordered_publish"])
+@pytest.mark.parametrize("name", ["cdc_lsn_roundtrip", "stream_ordered_publish", "stream_retry_publish"])
 def test_same_rows(spark, large_ids, name):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW events AS SELECT * FROM '{large_ids}/events.parquet/*.parquet'")
