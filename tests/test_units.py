@@ -188,6 +188,38 @@ def test_relations_hold_over_transactions(spark, tmp_path):
     assert got(_raw(spark, second)) == [(9, 0, 56, '{"id": 30, "x": 4}')]
 
 
+def test_parsed_as_one_by_one():
+    """A batch is parsed at once as message by message: all kinds of messages, empty tuples, odd kinds, bad UTF-8, cut texts."""
+    import pyarrow as pa
+
+    plain_ = [_begin(16, 7), _relation(5, "t", (("id", 23),)), _row(b"N", 5, [b"t" + struct.pack(">I", 2) + "é".encode(), b"n", b"u", ""], b"I"), _row(b"N", 6, [], b"I"), _row(b"K", 5, ["1"], b"D"), b"T" + struct.pack(">IBI", 1, 0, 5), _commit(16, 24), b"I" + struct.pack(">I", 9)]
+    update = _row(b"K", 5, ["1", b"n"], b"U") + b"N" + struct.pack(">H", 1) + b"b" + struct.pack(">I", 2) + b"ab"
+    odd = [_row(b"N", 5, [b"t" + struct.pack(">I", 1) + b"\xff"], b"I"), _row(b"N", 5, [b"t" + struct.pack(">I", 9) + b"ab"], b"I"), _row(b"N", 5, ["1"], b"I") + b"N" + struct.pack(">H", 0)]
+    for log in ([*plain_, update, update], plain_[2:5], *[[update, o] for o in odd]):
+        got = binary_messages.parsed(pa.array(log, pa.binary()))
+        want = [binary_messages.parse(m) for m in log]
+        for name, kind, _ in binary_messages.FIELDS:
+            assert got[name].type == kind and got[name].to_pylist() == [m.get(name) for m in want], name
+    with pytest.raises(struct.error):
+        binary_messages.parsed(pa.array([b"I\0\0"], pa.binary()))
+
+
+def test_relations_as_of_a_long_history(spark):
+    """Every definition, those known before, and rows before the first and after the last; rows aren't compared with a whole history."""
+    import bisect
+
+    from tidelog.operators.transactions import relation_as_of
+
+    places = {1: [None, *range(10, 4000, 10)], 2: [25], 3: [5, 6, 9_000_000]}
+    history = spark.createDataFrame([(k, p, f"{k}:{p}") for k, ps in places.items() for p in ps], "rel long, ordinal long, name string")
+    rows = [(n, n % 5) for n in (*range(0, 5000, 7), 8_999_999, 9_000_000, 9_000_001, 1 << 40)] + [(n, 3) for n in (4, 5, 6, 1 << 41)] + [(1, 1), (9, 1)]
+    out = relation_as_of(spark.createDataFrame(rows, "ordinal long, rel long"), history)
+    known = {k: [-1 if p is None else p for p in ps] for k, ps in places.items()}
+    want = [(n, r, f"{r}:{places[r][i - 1]}") for n, r in rows if r in known and (i := bisect.bisect_right(known[r], n))]
+    assert sorted(tuple(r) for r in out.select("ordinal", "rel", "name").collect()) == sorted(want)
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_truncations_in_listed_order_and_markers(spark):
     log = [(1, _begin(16, 7)), (1, _relation(1, "a", (("id", 23),))), (1, _relation(2, "b", (("id", 23),))), (1, b"T" + struct.pack(">IB", 3, 0) + struct.pack(">III", 2, 9, 1)), (1, _commit(16, 24))]
     log += [(2, _begin(32, 8)), (2, _commit(32, 40)), (3, _begin(48, 9))]

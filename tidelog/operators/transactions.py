@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def sequenced(log: DataFrame, tx: str = "txid", order: str = "ordinal") -> DataFrame:
@@ -28,15 +29,39 @@ def with_commit(rows: DataFrame, commits: DataFrame, tx: str = "txid") -> DataFr
     return rows.join(c, tx)
 
 
+#: Parts of what comes after the last definition of all.
+AFTER = 64
+
+
 def relation_as_of(rows: DataFrame, relations: DataFrame, key: str = "rel", order: str = "ordinal") -> DataFrame:
     """rows with the columns of the last definition of their relation at or before them; rows of unknown relations go.
 
-    relations (key, order, definition columns) is a history of table definitions; a null order is before all others. The lookup
-    is an equality join on the key with each definition's validity; Spark broadcasts the definitions where their size allows.
+    relations (key, order, definition columns) is a history of table definitions; a null order is before all others. order is a
+    number, or a struct whose first field is one. The span of the definitions is cut into as many ranges as there are definitions;
+    rows and definitions of a key and range are sorted together, and each range begins with the definition that holds there. So the
+    work is a sort, however often a relation is sent, and no row is compared with all definitions. The history is stored once.
     """
-    valid = relations.withColumnRenamed(order, "_from").withColumn("_to", F.lead("_from").over(Window.partitionBy(key).orderBy("_from")))
-    begun = F.col("_from").isNull() | (F.col(order) >= F.col("_from"))
-    return rows.join(valid, key).where(begun & (F.col("_to").isNull() | (F.col(order) < F.col("_to")))).drop("_from", "_to")
+    from tidelog.plans.folders import stored
+
+    cols, kind = [c for c in relations.columns if c not in (key, order)], relations.schema[order].dataType
+    relations = stored(relations, "definitions")
+    place = F.col(order)[kind.fields[0].name] if isinstance(kind, StructType) else F.col(order)
+    low, high, n = relations.agg(F.min(place), F.max(place), F.count(F.lit(1))).first()
+    low, high = (0, 0) if low is None else (low, high)
+    width = (high - low) // max(1, n) + 1
+    steps = (high - low) // width + 1
+    # what comes after all definitions needs no order and is dealt evenly
+    part = F.when(place > high, steps + F.pmod(F.xxhash64(order), F.lit(AFTER))).otherwise(F.greatest(F.floor((place - low) / F.lit(width)), F.lit(0))).cast("long")
+    definition = F.struct(*cols)
+    begun = relations.select(key, order, F.when(place.isNull(), F.lit(-1)).otherwise(part).cast("long").alias("_part"), definition.alias("_definition"))
+    until = F.coalesce(F.lead("_part").over(Window.partitionBy(key).orderBy(F.col(order).asc_nulls_first())), F.lit(steps + AFTER - 1))
+    carried = begun.withColumn("_until", until).where("_part < _until").select(key, F.explode(F.sequence(F.col("_part") + 1, F.col("_until"))).alias("_part"), "_definition")
+    both = rows.withColumns({"_part": part, "_row": F.lit(True)})
+    for more in (begun.where(F.col(order).isNotNull()), carried):
+        both = both.unionByName(more.withColumn("_row", F.lit(False)), allowMissingColumns=True)
+    w = Window.partitionBy(key, "_part").orderBy(F.col(order).asc_nulls_first(), "_row").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_definition", F.last("_definition", ignorenulls=True).over(w)).where("_row and _definition is not null")
+    return found.select(*rows.columns, "_definition.*")
 
 
 def truncations(rows: DataFrame, rels: str = "rels") -> DataFrame:

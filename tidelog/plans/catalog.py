@@ -15,6 +15,7 @@ from tidelog.operators import metrics, replay
 from tidelog.operators import publish as pub
 from tidelog.operators import transactions as tx
 from tidelog.operators.normalize import normalize, serialized
+from tidelog.plans.folders import stored
 from tidelog.sources import binary_messages, capture, json_messages
 from tidelog.sources.changes import DATABASE, as_binary_messages, as_json_messages, changes
 
@@ -117,7 +118,8 @@ def cdc_decode_wal2json(spark, sf_dir):
 
 @query(_DECODED.format(seq="seq"))
 def cdc_decode_pgoutput(spark, sf_dir):
-    return _decoded(binary_messages.decode(as_binary_messages(log_of(spark, sf_dir))))
+    # decoding reads the messages three times: they are made once
+    return _decoded(binary_messages.decode(stored(as_binary_messages(log_of(spark, sf_dir)), "messages")))
 
 
 #: Tables that a truncation lists, not in the order of their relations' numbers.

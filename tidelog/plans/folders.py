@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -17,3 +17,10 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         top = "file://" + tempfile.mkdtemp(prefix="tidelog-")
         spark.conf.set("spark.checkpoint.dir", top)
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """rows, written once to a shared folder and read from there as often as they are needed."""
+    path, schema = shared_folder(rows.sparkSession, name), rows.schema
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(schema).parquet(path)

@@ -1,8 +1,8 @@
 """Binary change messages: rows and relations decoded in Arrow batches, the rest on the JVM.
 
 A stream sends a table's Relation once and again when it changes, in whichever transaction comes first. So the relations of the
-whole log are a history, and each row is joined with the definition that holds at its place: an equality join on the relation's
-number, of which a stream has few definitions. A micro-batch gets the definitions of earlier ones (RelationStore).
+whole log are a history, and each row gets the definition that holds at its place, by a sort of rows and definitions together
+(relation_as_of). A micro-batch gets the definitions of earlier ones (RelationStore).
 """
 
 from __future__ import annotations
@@ -10,7 +10,9 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,6 +89,118 @@ def parse(data: bytes) -> dict:
     return m | {"tag": tag}
 
 
+class _Odd(Exception):
+    """A batch has a message that parse() alone reads (or refuses)."""
+
+
+def _big_endian(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    out = np.zeros(len(at), np.int64)
+    for i in range(size):
+        out = out << 8 | data[at + i]
+    return out
+
+
+def _tuples(data: np.ndarray, at: np.ndarray, end: np.ndarray):
+    """The tuples that begin at these places: (columns of each, kind, start and size of each cell, size -1: no text), and where they end."""
+    if (at + 2 > end).any():
+        raise _Odd
+    n, at = _big_endian(data, at, 2), at + 2
+    base, total = np.cumsum(n) - n, int(n.sum())
+    kind, start, size = np.empty(total, np.uint8), np.zeros(total, np.int64), np.full(total, -1)
+    for j in range(int(n.max(initial=0))):
+        i = np.flatnonzero(n > j)
+        if (at[i] + 1 > end[i]).any():
+            raise _Odd
+        kind[base[i] + j] = k = data[at[i]]
+        at[i] += 1
+        i = i[(k != ord("n")) & (k != ord("u"))]
+        if (at[i] + 4 > end[i]).any():
+            raise _Odd
+        size[base[i] + j] = z = _big_endian(data, at[i], 4)
+        start[base[i] + j] = at[i] + 4
+        at[i] += 4 + z
+        if (at[i] > end[i]).any():
+            raise _Odd
+    if (kind > 127).any():
+        raise _Odd
+    return (n, kind, start, size), at
+
+
+def _lists(data: np.ndarray, rows: int, found: list[tuple]) -> pa.Array:
+    """A tuple for each row, null where found (row numbers, what _tuples gave) has none."""
+    at = np.concatenate([f[0] for f in found] or [np.empty(0, np.int64)])
+    if len(np.unique(at)) < len(at):
+        raise _Odd
+    n = np.concatenate([f[1][0] for f in found] or [np.empty(0, np.int64)])
+    kind, start, size = (np.concatenate([f[1][i] for f in found] or [np.empty(0, t)]) for i, t in ((1, np.uint8), (2, np.int64), (3, np.int64)))
+    order = np.argsort(at, kind="stable")
+    begin, m = (np.cumsum(n) - n)[order], n[order]
+    cells = np.repeat(begin - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))
+    kind, start, size = kind[cells], start[cells], size[cells]
+    there = size >= 0
+    length = np.where(there, size, 0)
+    ends = np.append(0, np.cumsum(length))
+    if ends[-1] >= 1 << 31:
+        raise _Odd
+    text = data[np.repeat(start - ends[:-1], length) + np.arange(int(ends[-1]))]
+    buffer = lambda x: pa.py_buffer(np.ascontiguousarray(x))
+    texts = pa.StringArray.from_buffers(len(size), buffer(ends.astype(np.int32)), buffer(text), buffer(np.packbits(there, bitorder="little")), -1)
+    try:
+        texts.validate(full=True)
+    except pa.ArrowInvalid:
+        raise _Odd from None
+    kinds = pa.StringArray.from_buffers(len(size), buffer(np.arange(len(size) + 1, dtype=np.int32)), buffer(kind))
+    columns, none = np.zeros(rows, np.int64), np.ones(rows, bool)
+    columns[at], none[at] = n, False
+    offsets = pa.array(np.append(0, np.cumsum(columns)).astype(np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([kinds, texts], fields=list(_CELL)), type=_TUPLE, mask=pa.array(none))
+
+
+def parsed(column: pa.Array) -> dict[str, pa.Array]:
+    """parse() of a whole array of messages, as arrays of FIELDS. Rows' cells are found for all messages at once; relations,
+    truncations and markers, and whole batches that hold anything unusual, go message by message."""
+    try:
+        ends = np.append(0, np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False)))
+        begin, end = ends[:-1].astype(np.int64), ends[1:].astype(np.int64)
+        data = np.frombuffer(b"".join(column.to_pylist()), np.uint8)
+        if not len(begin) or (end == begin).any():
+            raise _Odd
+        tag = data[begin]
+        rows = np.flatnonzero(np.isin(tag, [ord(t) for t in "IUD"]))
+        others = np.setdiff1d(np.arange(len(begin)), rows)
+        if (begin[rows] + 5 > end[rows]).any():
+            raise _Odd
+        rel, at, tuples = _big_endian(data, begin[rows] + 1, 4), begin[rows] + 5, {"new_tuple": [], "old_tuple": []}
+        busy = np.flatnonzero(at < end[rows])
+        while len(busy):
+            which = data[at[busy]] == ord("N")
+            for name, some in (("new_tuple", busy[which]), ("old_tuple", busy[~which])):
+                found, at[some] = _tuples(data, at[some] + 1, end[rows][some])
+                tuples[name].append((rows[some], found))
+            busy = busy[at[busy] < end[rows][busy]]
+        out = {name: _lists(data, len(begin), found) for name, found in tuples.items()}
+        rest = {int(i): parse(column[int(i)].as_py()) for i in others}
+        for name, kind, _ in FIELDS:
+            if name == "rel":
+                number, none = np.zeros(len(begin), np.int64), np.ones(len(begin), bool)
+                number[rows], none[rows] = rel, False
+                for i, m in rest.items():
+                    if "rel" in m:
+                        number[i], none[i] = m["rel"], False
+                out[name] = pa.array(number, kind, mask=none)
+            elif name == "tag":
+                out[name] = pa.array([chr(t) for t in tag.tolist()], kind)
+            elif name not in out:
+                values = [None] * len(begin)
+                for i, m in rest.items():
+                    values[i] = m.get(name)
+                out[name] = pa.array(values, kind) if rest else pa.nulls(len(begin), kind)
+        return out
+    except _Odd:
+        decoded = [parse(x.as_py()) for x in column]
+        return {n: pa.array([d.get(n) for d in decoded], t) for n, t, _ in FIELDS}
+
+
 def _own(raw: DataFrame, tags: str) -> DataFrame:
     """The messages of this plugin with one of the tags; data is binary."""
     own = raw.where(F.coalesce("plugin", F.lit("")).isin("pgoutput", "")).withColumn("data", F.col("data").cast("binary"))
@@ -101,8 +215,8 @@ def messages(raw: DataFrame, order: list[str], keep: list[str], tags: str = "RIU
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            decoded = [parse(x.as_py()) for x in b.column(b.num_columns - 1)]
-            arrays = [b.column(i) for i in range(b.num_columns - 1)] + [pa.array([d.get(n) for d in decoded], t) for n, t, _ in FIELDS]
+            decoded = parsed(b.column(b.num_columns - 1))
+            arrays = [b.column(i) for i in range(b.num_columns - 1)] + [decoded[n] for n, _, _ in FIELDS]
             yield pa.RecordBatch.from_arrays(arrays, names=[*held, *[n for n, _, _ in FIELDS]])
 
     return source.mapInArrow(run, schema)
