@@ -388,6 +388,20 @@ def test_capture_feedback_and_faults(tmp_path):
     assert capture.is_fatal(e.value)
 
 
+def test_capture_reads_small_files_together(tmp_path, monkeypatch):
+    """A task reads files up to a number of lines, each with the transaction that is open at its begin; a larger file is a task's alone."""
+    line = lambda o, c: json.dumps({"plugin": "pgoutput", "ordinal": o, "data64": "Qg==", "commit": c})
+    files = [[(0, False), (1, False)], [(2, True), (3, False)], [(4, False)], [(5, False), (6, True), (7, False), (8, True), (9, True)], [(10, True)], [(11, False)]]
+    for n, rows in enumerate(files):
+        (tmp_path / f"{n}.json").write_text("\n".join(line(*r) for r in rows))
+    monkeypatch.setattr(capture, "TASK_LINES", 4)
+    r = capture.CaptureReader({"path": f"file://{tmp_path}", "plugin": "pgoutput"})
+    parts = r.partitions({"ordinal": -1}, r.latestOffset())
+    assert [[f.rpartition("/")[2] for f, _ in p.files] for p in parts] == [["0.json", "1.json"], ["2.json"], ["3.json"], ["4.json"]]
+    got = [(x[2], x[5]) for p in parts for x in r.read(p)]
+    assert got == [(0, 0), (1, 0), (2, 0), (3, 3), (4, 3), (5, 3), (6, 3), (7, 7), (8, 7), (9, 9), (10, 10)]
+
+
 def test_capture_offers_never_go_back(tmp_path):
     """A limited reader that starts anew goes on from what was offered, not from the begin."""
     (tmp_path / "in").mkdir()

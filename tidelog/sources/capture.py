@@ -7,7 +7,7 @@ advance to commits only, so every micro-batch holds whole transactions (each mes
 and per-transaction windows can run in foreachBatch.
 
 Each file is looked through once for the index of its ordinals and commits, new files alone at a trigger, and a batch reads the
-files that overlap its range. The acknowledged position never moves back. With ackPath it is stored there after each batch and
+files that overlap its range, small ones together in a task. The acknowledged position never moves back. With ackPath it is stored there after each batch and
 again when the stream is idle for heartbeatSeconds, and a stream without a checkpoint of its own goes on from it.
 """
 
@@ -61,19 +61,26 @@ def attempt(read, tries: int = 5, wait=time.sleep):
             wait(reconnect_backoff(n))
 
 
+#: A task's files hold about as many lines (or are one file).
+TASK_LINES = 50_000
+
+
 class _Range(InputPartition):
-    def __init__(self, path: str, start: int, end: int, tx: int | None):
-        self.path, self.start, self.end, self.tx = path, start, end, tx
+    """files: (path, the transaction that is open at its begin) of each."""
+
+    def __init__(self, files: list[tuple[str, int | None]], start: int, end: int):
+        self.files, self.start, self.end = files, start, end
 
 
 class _File:
-    """What the index keeps of a file: its first and last ordinal, its commits after start, and where the transaction that is open
-    at its begin and at its end has begun."""
+    """What the index keeps of a file: its first and last ordinal, its lines, its commits after start, and where the transaction that
+    is open at its begin and at its end has begun."""
 
     def __init__(self, rows: Iterator[dict], start: int, tx: int | None):
-        self.tx, self.low, self.high, self.commits = tx, None, None, []
+        self.tx, self.low, self.high, self.lines, self.commits = tx, None, None, 0, []
         for r in rows:
             n = r["ordinal"]
+            self.lines += 1
             self.low, self.high = n if self.low is None else self.low, n
             tx = n if tx is None else tx
             if r["commit"]:
@@ -170,16 +177,24 @@ class CaptureReader(DataSourceStreamReader):
         self._indexed()
         self.last = max(self.last, end["ordinal"])
         low, high = start["ordinal"], end["ordinal"]
-        return [_Range(p, low, high, f.tx) for p, f in self.index.items() if f.low is not None and f.high > low and f.low <= high]
+        out, lines = [], 0
+        for path, f in self.index.items():
+            if f.low is not None and f.high > low and f.low <= high:
+                if not out or lines + f.lines > TASK_LINES:
+                    out.append(_Range([], low, high))
+                    lines = 0
+                out[-1].files.append((path, f.tx))
+                lines += f.lines
+        return out
 
     def read(self, partition: _Range) -> Iterator[tuple]:
-        tx = partition.tx
-        for r in self._rows(partition.path):
-            tx = r["ordinal"] if tx is None else tx
-            if partition.start < r["ordinal"] <= partition.end:
-                yield r["plugin"], r["wal_start"], r["ordinal"], r["data"], r["commit"], tx
-            if r["commit"]:
-                tx = None
+        for path, tx in partition.files:
+            for r in self._rows(path):
+                tx = r["ordinal"] if tx is None else tx
+                if partition.start < r["ordinal"] <= partition.end:
+                    yield r["plugin"], r["wal_start"], r["ordinal"], r["data"], r["commit"], tx
+                if r["commit"]:
+                    tx = None
 
     def commit(self, end: dict) -> None:
         self.acked = max(self.acked, end["ordinal"])
