@@ -7,6 +7,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,6 +188,52 @@ def test_suffixes_in_more_blocks_than_buckets(spark, docs, monkeypatch):
     assert bag() == want
 
 
+def test_contexts_of_many_blocks_go_in_few_rows(spark, docs, monkeypatch):
+    """Blocks beyond a message's ranges don't each have a bucket of contexts, which would be rows by the square of the blocks."""
+    from tidelog.llm import common, exchange
+
+    kept, saved = {}, suffixes.saved
+    monkeypatch.setattr(suffixes, "saved", lambda df, name: kept.setdefault(name, saved(df, name)))
+    monkeypatch.setattr(common, "MIN_BLOCKS", 9)
+    monkeypatch.setattr(exchange, "FAN", 2)
+    suffixes.suffix_dedup(docs)
+    assert 0 < kept["suffix-contexts"].count() <= 9 * 2
+
+
+def test_a_bucket_is_gone_through_once_for_all_blocks(monkeypatch):
+    """The work on a bucket grows with its contexts, not with contexts times blocks."""
+    looked = []
+
+    class Minimum:
+        at = np.minimum.at
+
+        def reduceat(self, x, begin):
+            looked.append(len(x))
+            return np.minimum.reduceat(x, begin)
+
+    class Numpy:
+        minimum = Minimum()
+
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+    text, blocks = "".join(f"passage {i} of all blocks, " for i in range(100)), 40
+    parts = [suffixes.Block(pa.table({"doc_id": [i], "text": [text.encode()]})) for i in range(blocks)]
+    rows = []
+    for i, b in enumerate(parts):
+        raw = b.data.tobytes()
+        contexts = [raw[f : f + w + 49] for f, w in zip(b.first.tolist(), b.windows.tolist())]
+        more = np.zeros(len(b.first), np.uint8)
+        columns = {"names": b.names, "keys": b.keys(), "windows": b.windows.astype(np.uint8), "docs": b.docs, "more": more, "bytes": contexts}
+        rows.append(suffixes._dealt(i, np.zeros(len(b.first), np.int64), columns))
+    monkeypatch.setattr(suffixes, "np", Numpy())
+    out = suffixes._smallest(pa.concat_tables(rows))
+    # all but the first block's document lose what it has
+    assert out.column("part").to_pylist() == list(range(1, blocks))
+    assert all(not any(x.as_py()) for x in out.column("docs"))
+    assert sum(looked) <= parts[0].windows.sum()
+
+
 def test_suffixes_in_pieces(monkeypatch):
     """Runs don't depend on how a long text is cut into pieces: the same windows get the same names."""
     r = np.random.default_rng(2)

@@ -16,10 +16,12 @@ windows of one name form a run, whose bytes are its context.
 
 A passage of a third of all documents is one entry a block in every step.
 
-The suffix sort is a mergesort, after one radix step by the first eight bytes. Two suffixes are compared by their longest
-common extension, found by binary search over prefix polynomial hashes
-(mod 2^64), and the byte after it; where hashes claim equality over the whole
-limit, the bytes are compared, so that a collision can't join different windows.
+The suffix sort is a radix sort over the bytes themselves, eight at a step. Before it, windows whose prefix polynomial hash
+(mod 2^64) no other window of the names at hand has are set aside: they equal none, and a collision only keeps a window in the sort.
+
+A bucket is a range of names' hashes. There are as many as blocks, up to exchange.FAN; beyond that a bucket takes the contexts
+of up to WIDE blocks. So the rows between blocks and buckets grow with the data up to FAN * WIDE blocks (34 GB of text), and from
+there on with its square, an eighth of the blocks a block.
 
 Defined cases: null and empty texts have no bytes; a null doc_id ranks after all
 others; rows that repeat an id aren't smaller than each other; of equal windows in
@@ -36,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from . import exchange
 from .common import block_table, n_blocks, saved
 from .exchange import SENT, answered, answers, exchanged, mixed, of_round, sent
 
@@ -44,6 +47,8 @@ LENGTH, K = 50, 26
 RUN, CHUNK = 64, 1 << 19
 #: Bytes of text in a block: its arrays and a bucket's contexts have to fit a worker.
 BLOCK = 4 << 20
+#: Blocks whose share of contexts a bucket takes at most: about 40 MB of bytes.
+WIDE = 8
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -133,91 +138,30 @@ def runs(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, k: int = K) -
 
 
 class Suffixes:
-    """Suffixes of data, compared up to limit bytes. Every start has limit bytes after it."""
+    """Suffixes of data, sorted up to limit bytes (8 or more). Every start has limit bytes after it."""
 
     def __init__(self, data: np.ndarray, limit: int = LENGTH):
         self.data, self.limit = data, limit
         self.h, (_, self.down) = prefix_hashes(data), powers(len(data) + 1)
+        # the eight bytes from each place on as a number, which compares as they do
+        self.eight = np.zeros(max(0, len(data) - 7), _U)
+        for i in range(8):
+            self.eight = self.eight << _U(8) | data[i : i + len(self.eight)]
+        # the last eight overlap those before, so that no suffix is looked at beyond the limit
+        self.steps = [*range(0, limit - 8, 8), limit - 8]
 
-    def _same(self, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
-        h, down = self.h, self.down
-        return (h[a + n] - h[a]) * down[a] == (h[b + n] - h[b]) * down[b]
-
-    def extension(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """The longest common extension of suffixes a and b up to limit, by binary search over the hashes."""
-        low, high = np.zeros(len(a), np.int64), np.full(len(a), self.limit, np.int64)
-        for _ in range(self.limit.bit_length()):
-            mid = (low + high + 1) >> 1
-            same = self._same(a, b, mid)
-            low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
-        return low
-
-    def less(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether suffix a stands before suffix b; equal ones don't."""
-        n = self.extension(a, b)
-        out = np.zeros(len(a), bool)
-        differ = n < self.limit
-        x, y = self.data[(a + n)[differ]], self.data[(b + n)[differ]]
-        out[differ] = x < y
-        # a collision can hide a difference at the byte found or claim none: the bytes decide
-        odd = np.flatnonzero(~differ)
-        odd = np.concatenate([odd, np.flatnonzero(differ)[x == y]])
-        if len(odd):
-            reach = np.arange(self.limit)
-            for at in range(0, len(odd), 1 << 16):
-                o = odd[at : at + (1 << 16)]
-                p, q = self.data[a[o][:, None] + reach], self.data[b[o][:, None] + reach]
-                d = p != q
-                first = d.argmax(1)
-                i = np.arange(len(o))
-                out[o] = d.any(1) & (p[i, first] < q[i, first])
-        return out
+    def hashes(self, starts: np.ndarray) -> np.ndarray:
+        """A hash of each suffix's first limit bytes."""
+        return (self.h[starts + self.limit] - self.h[starts]) * self.down[starts]
 
     def sort(self, starts: np.ndarray, groups: np.ndarray) -> np.ndarray:
-        """The order that sorts starts by suffix within each group; groups are consecutive in starts. A bottom-up mergesort,
-        all merges of a level at once: an element's rank in the other run is found by binary search."""
-        order = np.arange(len(starts))
-        if not len(starts):
-            return order
-        begin = np.flatnonzero(np.append(True, groups[1:] != groups[:-1]))
-        size = np.diff(np.append(begin, len(starts)))
-        first, total = np.repeat(begin, size), np.repeat(size, size)
-        width = 1
-        while width < size.max():
-            at = np.flatnonzero(total > width)
-            local = at - first[at]
-            run = local // width
-            other = np.where(run % 2 == 0, run + 1, run - 1)
-            o0 = np.minimum(other * width, total[at])
-            o1 = np.minimum((other + 1) * width, total[at])
-            low, high = o0.copy(), o1.copy()
-            mine, left = starts[order[at]], run % 2 == 0
-            busy = np.flatnonzero(low < high)
-            while len(busy):
-                mid = (low[busy] + high[busy]) >> 1
-                theirs = starts[order[first[at[busy]] + mid]]
-                # of equals, those of the left run stand first
-                before = np.empty(len(busy), bool)
-                l = left[busy]
-                before[l] = self.less(theirs[l], mine[busy][l])
-                before[~l] = ~self.less(mine[busy][~l], theirs[~l])
-                low[busy] = np.where(before, mid + 1, low[busy])
-                high[busy] = np.where(before, high[busy], mid)
-                busy = busy[low[busy] < high[busy]]
-            base = (run // 2) * 2 * width
-            to = first[at] + base + (local - run * width) + (low - o0)
-            merged = order.copy()
-            merged[to] = order[at]
-            order = merged
-            width *= 2
-        return order
+        """The order that sorts starts by suffix within each group: a radix sort, eight bytes a step, from the last to the first."""
+        return np.lexsort((*(self.eight[starts + k] for k in reversed(self.steps)), groups))
 
     def equal(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        reach = np.arange(self.limit)
-        out = np.zeros(len(a), bool)
-        for at in range(0, len(a), 1 << 16):
-            s = slice(at, at + (1 << 16))
-            out[s] = (self.data[a[s][:, None] + reach] == self.data[b[s][:, None] + reach]).all(1)
+        out = np.ones(len(a), bool)
+        for k in self.steps:
+            out &= self.eight[a + k] == self.eight[b + k]
         return out
 
 
@@ -261,6 +205,11 @@ class Block:
         return out
 
 
+def n_buckets(n: int) -> int:
+    """How many buckets take the contexts of n blocks. Each block sends a row to each of them and gets one back."""
+    return min(n, max(exchange.FAN, -(-n // WIDE)))
+
+
 def _bucket(names: np.ndarray, n: int) -> np.ndarray:
     # names are minima and so crowd near 0: deal them by another hash
     return ((mixed(names + _U(1)) >> _U(32)) * _U(n) >> _U(32)).astype(np.int64)
@@ -300,6 +249,16 @@ def _slices(order: np.ndarray, names: np.ndarray, size: np.ndarray):
         yield from np.split(order, np.flatnonzero(piece[1:] != piece[:-1]) + 1)
 
 
+def _repeated(x: np.ndarray) -> np.ndarray:
+    """The places of the values that x holds several times."""
+    order = np.argsort(x)
+    same = x[order][1:] == x[order][:-1]
+    out = np.zeros(len(x), bool)
+    out[order[1:][same]] = True
+    out[order[:-1][same]] = True
+    return np.flatnonzero(out)
+
+
 def _joined_windows(contexts, names, start, n, begin, data, least) -> None:
     """Sorts the contexts' windows within each name and gives equal ones their smallest document, in least."""
     size = n[contexts] - 1 + LENGTH
@@ -309,14 +268,12 @@ def _joined_windows(contexts, names, start, n, begin, data, least) -> None:
     inside = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
     places, group = np.repeat(own, m) + inside, np.repeat(names[contexts], m)
     at = np.repeat(begin[contexts], m) + inside
-    # by the first bytes at once, which parts a frequent name's windows; the mergesort orders what agrees in them
-    first = np.zeros(len(places), _U)
-    for i in range(8):
-        first = first << _U(8) | text[places + i]
-    radix = np.lexsort((first, group))
-    places, group, at, first = places[radix], group[radix], at[radix], first[radix]
-    group = np.cumsum(np.append(True, (group[1:] != group[:-1]) | (first[1:] != first[:-1])))
     s = Suffixes(text)
+    # a window whose hash no other window has equals none
+    some = _repeated(s.hashes(places))
+    if not len(some):
+        return
+    places, group, at = places[some], group[some], at[some]
     sort = s.sort(places, group)
     places, group, at = places[sort], group[sort], at[sort]
     new = np.append(True, (group[1:] != group[:-1]) | ~s.equal(places[1:], places[:-1]))
@@ -332,10 +289,10 @@ def _smallest(table: pa.Table) -> pa.Table:
     per = {k: _arrays(table.column(k), t) for k, t in (("names", _U), ("keys", _U), ("windows", np.uint8), ("docs", np.int64), ("more", np.uint8))}
     names, keys, windows, docs = (np.concatenate(per[k]) for k in ("names", "keys", "windows", "docs"))
     windows = windows.astype(np.int64)
-    data = np.frombuffer(b"".join(x.as_py() for x in table.column("bytes")), np.uint8)
+    raw = b"".join(x.as_py() for x in table.column("bytes"))
+    data = np.frombuffer(raw, np.uint8)
     size = windows - 1 + LENGTH
     start = np.cumsum(size) - size
-    raw = data.tobytes()
     # equal contexts, by their bytes
     index: dict[bytes, int] = {}
     which = np.fromiter((index.setdefault(raw[a : a + n], len(index)) for a, n in zip(start.tolist(), size.tolist())), np.int64, len(start))
@@ -358,17 +315,15 @@ def _smallest(table: pa.Table) -> pa.Table:
     own = own[np.argsort(names[one][own], kind="stable")]
     for some in _slices(own, names[one], size[one]):
         _joined_windows(some, names[one], start[one], n, begin, data, least)
-    rows, first = [], 0
-    for part, k, m, d in zip(parts, per["keys"], per["more"], per["docs"]):
-        w = which[first : first + len(k)]
-        first += len(k)
-        lows = np.minimum.reduceat(least, begin)[w] if len(begin) else w
-        # a context of one document that is the smallest of all its windows has nothing to remove
-        need = np.flatnonzero((m > 0) | (lows < d))
-        if len(need):
-            u = w[need]
-            flat = np.repeat(begin[u] - np.append(0, np.cumsum(n[u])[:-1]), n[u]) + np.arange(n[u].sum())
-            rows.append((part, k[need].tobytes(), n[u].astype(np.uint8).tobytes(), least[flat].tobytes()))
+    # a context of one document that is the smallest of all its windows has nothing to remove
+    more, part = np.concatenate(per["more"]), np.repeat(np.arange(len(parts)), [len(k) for k in per["keys"]])
+    lows = np.minimum.reduceat(least, begin) if len(begin) else least
+    need = np.flatnonzero((more > 0) | (lows[which] < docs))
+    u, part = which[need], part[need]
+    flat = np.append(0, np.cumsum(n[u]))
+    found, sizes, back = keys[need], n[u].astype(np.uint8), least[np.repeat(begin[u] - flat[:-1], n[u]) + np.arange(flat[-1])]
+    edges = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else part
+    rows = [(parts[part[i]], found[i:j].tobytes(), sizes[i:j].tobytes(), back[flat[i] : flat[j]].tobytes()) for i, j in zip(edges, np.append(edges[1:], len(part)))]
     return _answer(rows)
 
 
@@ -380,7 +335,7 @@ def _joined(answers: pa.Table, column: str, kind) -> np.ndarray:
 def suffix_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each row of docs (doc_id, text)."""
     n = n_blocks(docs, block_bytes=BLOCK)
-    blocks = block_table(docs, n)
+    blocks, buckets = block_table(docs, n), n_buckets(n)
 
     def send_names(table: pa.Table) -> pa.Table:
         names, documents = Block(table).distinct_names()
@@ -404,7 +359,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
         raw = b.data.tobytes()
         return _dealt(
             left.column("part")[0].as_py(),
-            _bucket(b.names[one], n),
+            _bucket(b.names[one], buckets),
             {
                 "names": b.names[one],
                 "keys": keys[one],
